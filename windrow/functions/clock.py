@@ -9,9 +9,6 @@ from pyspark.sql import functions as F
 
 from windrow.session import require_utc
 
-# largest epoch millisecond a Spark timestamp (64-bit microseconds) can hold
-MAX_EPOCH_MILLIS = (2**63 - 1) // 1000
-
 _UNITS = {
     "microsecond": 1,
     "millisecond": 1_000,
@@ -55,8 +52,8 @@ def strict_long(text: Column) -> Column:
 
 
 def millis_time(millis: Column) -> Column:
-    """Epoch milliseconds to TIMESTAMP; null outside the range of the type."""
-    return F.when(millis.between(-MAX_EPOCH_MILLIS, MAX_EPOCH_MILLIS), F.timestamp_millis(millis))
+    """Epoch milliseconds to TIMESTAMP; null outside the range of the type (64-bit microseconds)."""
+    return F.timestamp_micros(F.try_multiply(millis, F.lit(1000)))
 
 
 def event_time(column: Column, unit: str) -> Column:

@@ -46,7 +46,9 @@ def normalise(df: DataFrame, spec: RecordSpec, value: str = "value") -> DataFram
     """
     message = F.col(value)
     text = quote_nulls(message) if spec.nulls_to_text else message
-    parsed = df.withColumn("_parsed", parse_object(text, spec.keys))
+    # through a generator: a filter on the fields would otherwise be moved below the projection and
+    # parse the message again for each mention of a field
+    parsed = df.withColumn("_parsed", F.explode(F.array(parse_object(text, spec.keys))))
     whole = is_one_object(F.col("_parsed"))
     fields = {
         name: F.when(whole, field_or_default(F.col("_parsed"), key, default))

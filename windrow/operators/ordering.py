@@ -36,32 +36,37 @@ def running_before(
 ) -> DataFrame:
     """Add `name`: the `max` or `min` of `value` over all rows with a smaller position.
 
-    `position` is a BIGINT without duplicates (within `by`). It is cut into blocks of
-    `blocks[0]` positions; since positions are unique, no block can hold more rows than that,
-    whatever the data look like. The extremes of the blocks form a much smaller table of the same
-    shape, which is treated likewise with `blocks[1]`, and so on; only the topmost table, smaller
-    by the product of all block sizes, is ordered in one task.
+    `position` is a BIGINT without duplicates (within `by`) and without nulls. It is cut into
+    blocks of `blocks[0]` positions; since positions are unique, no block can hold more rows than
+    that, whatever the data look like. The extremes of the blocks form a much smaller table of the
+    same shape, which is treated likewise with `blocks[1]`, and so on; only the topmost table,
+    smaller by the product of all block sizes, is ordered in one task.
+
+    What a block inherits from those before it enters as one more row at its front. The rows are
+    therefore read twice and shuffled once, by block, and there is no join.
     """
-    return _running(df, list(by), F.col(position), value, how, name, 1, list(blocks))
+    return _running(df, list(by), position, value, how, name, 1, list(blocks))
 
 
 def _running(
-    df: DataFrame, by: list[str], position: Column, value: str, how: str, name: str, step: int, blocks: list[int]
+    df: DataFrame, by: list[str], position: str, value: str, how: str, name: str, step: int, blocks: list[int]
 ) -> DataFrame:
-    extreme, pick = (F.max, F.greatest) if how == "max" else (F.min, F.least)
-    frame = (W.unboundedPreceding, -1)
+    extreme = F.max if how == "max" else F.min
     if not blocks:
-        return df.withColumn(name, extreme(value).over(W.partitionBy(*by).orderBy(position).rowsBetween(*frame)))
+        return df.withColumn(name, _before(extreme(value), by, position))
 
     step *= blocks[0]
-    block, carried = f"_block{step}", f"_carried{step}"
-    rows = df.withColumn(block, floor_to(position, step))
+    block = f"_block{step}"
+    rows = df.withColumn(block, floor_to(F.col(position), step))
     per_block = rows.groupBy(*by, block).agg(extreme(value).alias(value))
-    above = _running(per_block, by, F.col(block), value, how, carried, step, blocks[1:])
-    keys = [*by, block]
-    above = above.select(*(F.col(k).alias(f"_above_{k}") for k in keys), carried)
-    inside = extreme(value).over(W.partitionBy(*keys).orderBy(position).rowsBetween(*frame))
-    matched = rows.withColumn("_inside", inside).join(
-        above, on=[F.col(k).eqNullSafe(F.col(f"_above_{k}")) for k in keys]
-    )
-    return matched.withColumn(name, pick("_inside", carried)).select(*df.columns, name)
+    inherited = _running(per_block, by, block, value, how, "_inherited", step, blocks[1:])
+    fronts = inherited.select(*by, block, F.col("_inherited").alias(value), F.lit(True).alias("_front"))
+    chained = rows.withColumn("_front", F.lit(False)).unionByName(fronts, allowMissingColumns=True)
+    # a front has no position of its own and sorts first
+    known = chained.withColumn(name, _before(extreme(value), [*by, block], position))
+    return known.filter(~F.col("_front")).select(*df.columns, name)
+
+
+def _before(aggregate: Column, keys: list[str], position: str) -> Column:
+    order = W.partitionBy(*keys).orderBy(F.col(position).asc_nulls_first())
+    return aggregate.over(order.rowsBetween(W.unboundedPreceding, -1))

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import math
 from collections.abc import Sequence
 
 from pyspark.sql import DataFrame, SparkSession
@@ -9,6 +10,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
 from windrow.constants import ROLL_BYTES
+from windrow.operators.small_side import broadcast_if_small
 from windrow.sinks.buckets import BUCKET, read_bucketed
 
 
@@ -39,14 +41,21 @@ def compact_buckets(
     if buckets is not None:
         wanted = F.col(BUCKET).isin(list(buckets))
         rows, files = rows.filter(wanted), files.filter(wanted)
-    parts = files.groupBy(F.col(BUCKET).alias("_bucket")).agg(
-        F.ceil(F.sum("length") / F.lit(roll_bytes)).cast("bigint").alias("_parts")
-    )
-    spread = rows.join(parts, F.col(BUCKET) == F.col("_bucket")).withColumn(
-        "_part", F.floor(F.rand(seed=0) * F.col("_parts"))
+    sizes = broadcast_if_small(
+        files.groupBy(F.col(BUCKET).alias("_bucket")).agg(
+            F.ceil(F.sum("length") / F.lit(roll_bytes)).cast("bigint").alias("_parts"),
+            F.sum("length").alias("_bytes"),
+        )
     )
+    total = sizes.agg(F.sum("_bytes")).first()[0] or 0
+    # at least as many tasks as the largest bucket has parts, so no task writes two of its parts
+    tasks = max(math.ceil(total / roll_bytes), spark.sparkContext.defaultParallelism)
+    part = F.floor(F.rand(seed=0) * F.col("_parts"))
+    task = F.pmod(F.xxhash64(BUCKET) + part, F.lit(tasks)).cast("int")
     (
-        spread.repartition(BUCKET, "_part")
+        rows.join(sizes, F.col(BUCKET) == F.col("_bucket"))
+        .withColumn("_task", task)
+        .repartitionById(tasks, "_task")
         .select(*rows.columns)
         .write.format(fmt)
         .mode("overwrite")
