@@ -1,6 +1,8 @@
+import datetime
 import os
 
 import pytest
+from pyspark.sql.datasource import DataSource, DataSourceReader
 
 from windrow.schemas import USER_BEHAVIOR
 from windrow.sources.behavior import read_behavior_csv
@@ -56,11 +58,37 @@ def test_topic_options():
     assert "maxOffsetsPerTrigger" not in batch
 
 
-def test_raw_messages_through_another_source(spark):
-    # a built-in source stands in for the connector, which is not installed here
-    spec = TopicSpec("a:1", "t", format="rate", options={"rowsPerSecond": "1"})
-    with pytest.raises(Exception):  # its rows have a timestamp but no topic or offset
-        raw_messages(spark, spec)
+def test_raw_messages_through_a_source_of_the_same_shape(spark):
+    """The connector itself is not installed here. (Local classes, so that they reach the workers.)"""
+
+    class Reader(DataSourceReader):
+        def __init__(self, options):
+            self.topic = options["subscribe"]
+
+        def read(self, partition):
+            for offset, value in enumerate([b'{"pos":1}', b"", None]):
+                yield (None, value, self.topic, 0, offset, datetime.datetime(2024, 1, 1), 0)
+
+    class StandInTopic(DataSource):
+        @classmethod
+        def name(cls):
+            return "stand_in_topic"
+
+        def schema(self):
+            return (
+                "key binary, value binary, topic string, partition int, offset bigint, "
+                "timestamp timestamp, timestampType int"
+            )
+
+        def reader(self, schema):
+            return Reader(self.options)
+
+    spark.dataSource.register(StandInTopic)
+    df = raw_messages(spark, TopicSpec("a:1", "t", format="stand_in_topic"), streaming=False)
+    assert df.columns == ["value", "topic", "partition", "offset", "timestamp"]
+    rows = df.orderBy("offset").collect()
+    assert [r.value for r in rows] == ['{"pos":1}', "", None]
+    assert {r.topic for r in rows} == {"t"}
 
 
 def test_decode_messages(spark):

@@ -70,7 +70,9 @@ def test_release_holds_drops_and_goes_on_after_a_restart(spark, folder):
 
     feed.add([("late", 5_000), ("a", 13_000)])  # the window of the first record is closed
     feed.add([("a", 25_000)])
-    _run_release(feed, folder)
+    query = _run_release(feed, folder)
+    dropped = sum(op.numRowsDroppedByWatermark for p in query.recentProgress for op in p.stateOperators)
+    assert dropped == 1
     assert _released(spark, folder) == [
         ("a", 1_000), ("a", 1_000), ("a", 12_000), ("a", 13_000), ("b", 9_999),
     ]
@@ -268,3 +270,36 @@ def test_passing_records_stream_keeps_fields_only(spark, folder):
     ).awaitTermination()
     rows = read_bucketed(spark, f"{folder}/out", PASSING_RECORD).collect()
     assert [tuple(r) for r in rows] == [("1000", "p", "1970-01-01")]
+
+
+def test_a_busy_key_is_spread(spark, folder):
+    feed = Feed(spark, folder, RECORDS)
+    feed.add(spark.range(2_000).select(F.lit("busy").alias("k"), F.col("id").alias("ms")))
+    feed.add([("end", 10_000)])
+    _run_release(feed, folder)
+    files = [n for n in os.listdir(f"{folder}/out/bucket=all") if n.startswith("part-")]
+    assert len(files) == int(spark.conf.get("spark.sql.shuffle.partitions"))
+    assert len(_released(spark, folder)) == 2_000
+
+
+def test_a_sink_that_fails_once_leaves_nothing_twice(spark, folder):
+    feed = Feed(spark, folder, RECORDS)
+    feed.add([("a", 1), ("b", 2)])
+    attempts = []
+
+    def fails_at_first(batch, batch_id):
+        attempts.append(batch_id)
+        if len(attempts) == 1:
+            raise RuntimeError("lost")
+        batch_folder_sink(f"{folder}/second")(batch, batch_id)
+
+    def run():
+        sinks = [batch_folder_sink(f"{folder}/first"), fails_at_first]
+        fan_out(feed.stream(), sinks, checkpoint=f"{folder}/state").awaitTermination()
+
+    with pytest.raises(Exception, match="lost"):
+        run()
+    run()
+    assert attempts == [0, 0]
+    for name in ("first", "second"):
+        assert sorted(r.k for r in spark.read.parquet(f"{folder}/{name}").collect()) == ["a", "b"]
