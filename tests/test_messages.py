@@ -1,6 +1,7 @@
 """Normalisation: each field state, each reason to refuse a message."""
 
 import datetime
+import random
 
 import pytest
 
@@ -134,3 +135,36 @@ def test_every_message_goes_one_way(spark):
     assert bad.columns == ["n", "value", "reject_reason"]
     assert sorted([r.n for r in good.collect()] + [r.n for r in bad.collect()]) == list(range(6))
     assert set(PASSING_RECORDS.fields) == {"passingTime", "plateNo"}
+
+
+def test_random_messages(spark):
+    """Against the table of field states, on messages put together at random."""
+    rng = random.Random(5)
+    keys = {"id": "RAWID", "time": "pos", "eqp_id": "RSD_02", "old_state": "OLD_STATE", "new_state": "NEW_STATE"}
+    messages, expected = [], []
+    for n in range(400):
+        fields, record = list(keys), dict.fromkeys(keys)
+        rng.shuffle(fields)
+        fields = [f for f in fields if rng.random() < 0.8]
+        texts = []
+        for at, field in enumerate(fields):
+            last = at == len(fields) - 1
+            kind = rng.choice(["text", "number", "null", "spaced null"])
+            if kind == "text":
+                record[field] = str(rng.randrange(10**12))
+                texts.append(f'"{keys[field]}":"{record[field]}"')
+            elif kind == "number":
+                record[field] = str(rng.randrange(10**12))
+                texts.append(f'"{keys[field]}":{record[field]}')
+            elif kind == "null":
+                record[field] = None if last else "null"
+                texts.append(f'"{keys[field]}":null')
+            else:
+                texts.append(f'"{keys[field]}": null')
+        defaults = {f: "0" if f == "time" else "Null" for f in keys}
+        messages.append((n, "{" + ",".join(texts) + "}"))
+        expected.append({f: record[f] if record[f] is not None else defaults[f] for f in keys})
+    df = spark.createDataFrame(messages, "n int, value string")
+    for row, want in zip(normalise_state_events(df).orderBy("n").collect(), expected):
+        assert {f: row[f] for f in keys} == want, row.value
+        assert row.reject_reason == ("bad_event_time" if want["time"] == "null" else None)

@@ -15,6 +15,7 @@ from windrow.plans import message_log, topic_records, word_counts
 from windrow.operators.normalise import STATE_EVENTS
 from windrow.schemas import MESSAGE, PASSING_RECORD, STATE_EVENT
 from windrow.sinks.buckets import read_bucketed
+from windrow.sinks.compaction import compact_buckets
 from windrow.streaming import fan_out, latest_totals, start_bucketed, start_console, start_top_n
 from windrow.streaming.queries import batch_folder_sink, print_sink
 
@@ -303,3 +304,21 @@ def test_a_sink_that_fails_once_leaves_nothing_twice(spark, folder):
     assert attempts == [0, 0]
     for name in ("first", "second"):
         assert sorted(r.k for r in spark.read.parquet(f"{folder}/{name}").collect()) == ["a", "b"]
+
+
+def test_files_roll_by_batch_and_rows_and_are_compacted(spark, folder):
+    feed = Feed(spark, folder, "value string, bucket string")
+    for n in range(3):
+        feed.add([(f"{n}-{i}", "b") for i in range(10)])
+    start_bucketed(
+        feed.stream(), f"{folder}/out", "text", checkpoint=f"{folder}/state", max_records_per_file=4
+    ).awaitTermination()
+
+    def files(path):
+        return [n for n in os.listdir(f"{path}/bucket=b") if n.startswith("part-")]
+
+    assert len(files(f"{folder}/out")) == 9
+    compact_buckets(spark, f"{folder}/out", f"{folder}/compact", MESSAGE, "text")
+    assert len(files(f"{folder}/compact")) == 1
+    rows = [r.value for r in read_bucketed(spark, f"{folder}/compact", MESSAGE, "text").collect()]
+    assert sorted(rows) == sorted(f"{n}-{i}" for n in range(3) for i in range(10))

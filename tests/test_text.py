@@ -1,3 +1,6 @@
+import random
+import re
+
 import pytest
 from pyspark.sql import functions as F
 
@@ -71,3 +74,22 @@ def test_line_words_default_pattern_never_matches_lowered_text(spark):
 def test_line_words_by_non_word(spark):
     df = spark.createDataFrame([("Hello, WORLD! x_1",)], "value string")
     assert [r.word for r in line_words(df, pattern=c.NON_WORD).collect()] == ["hello", "world", "x_1"]
+
+
+def _split_like_java(text, pattern):
+    pieces = re.split(pattern, text)
+    if len(pieces) == 1:
+        return pieces
+    while pieces and not pieces[-1]:
+        pieces.pop()
+    return pieces
+
+
+@pytest.mark.parametrize("pattern", [r"\s", ",", "[ab]", r"\\N+"])
+def test_random_texts(spark, pattern):
+    rng = random.Random(3)
+    texts = {"".join(rng.choice(" \t\nab,\\N") for _ in range(rng.randrange(12))) for _ in range(400)}
+    expected = {text: _split_like_java(text, pattern) for text in texts}
+    assert _pieces(spark, texts, java_split(F.col("value"), pattern)) == expected
+    if pattern == c.WHITESPACE:
+        assert _pieces(spark, texts, whitespace_pieces(F.col("value"))) == expected

@@ -27,7 +27,7 @@ def _brute(rows, size, slide):
     return counted
 
 
-@pytest.mark.parametrize("size, slide", [(60, 5), (10, 10), (10, 3), (7, 7), (60, 60), (10, 4)])
+@pytest.mark.parametrize("size, slide", [(60, 5), (10, 10), (10, 3), (7, 7), (60, 60), (10, 4), (4, 10), (9, 6)])
 def test_counts_against_brute_force(spark, size, slide):
     rng = random.Random(size * 100 + slide)
     rows = [(rng.choice("abc") if rng.random() < 0.7 else "hot", rng.randrange(-50_000, 200_000)) for _ in range(500)]

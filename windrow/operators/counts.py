@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import math
 from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame
@@ -23,15 +24,15 @@ def windowed_count(
 ) -> DataFrame:
     """Count rows (or sum `value`) per key and window: `keys, window_start, window_end, name`.
 
-    Windows are aligned to the epoch and half open. Tumbling when `slide` is None. On a stream,
-    a window comes out when the watermark reaches its end.
+    Windows start at multiples of the slide and are half open. Tumbling when `slide` is None. On a
+    stream, a window comes out when the watermark reaches its end.
     """
     keys = [keys] if isinstance(keys, str) else list(keys)
     size_us = duration_micros(size)
     slide_us = duration_micros(slide) if slide else size_us
     total = F.count(F.lit(1)) if value is None else F.sum(value)
 
-    if df.isStreaming or size_us % slide_us:
+    if df.isStreaming:
         window = F.window(time, interval_text(size_us), interval_text(slide_us))
         return (
             df.groupBy(*keys, window.alias("_window"))
@@ -55,24 +56,27 @@ def windowed_count(
 def _counted_panes(
     df: DataFrame, keys: list[str], size_us: int, slide_us: int, time: str, total: Column, name: str
 ) -> DataFrame:
-    """Bounded input: aggregate once per pane of one slide, then add panes up to windows.
+    """Bounded input: aggregate once per pane, then add panes up to windows.
 
-    Each row is counted in one pane, not in size/slide windows, so the exchange of the raw data
-    carries at most one partial count per key and pane and task; only finished pane counts are
-    multiplied. Panes are plain numbers, which hash and compare faster than window structs.
+    A pane is the longest stretch that no window boundary cuts (one slide, where the slide divides
+    the size). Each row is counted in one pane, not in size / slide windows, so the exchange of the
+    raw data carries at most one partial count per key and pane and task; only finished pane counts
+    are multiplied. Panes are plain numbers, which hash and compare faster than window structs.
+
+    A stream cannot do this: there, a record may be late for one of its windows and not for others.
     """
-    pane = floor_to(F.unix_micros(time), slide_us)
-    panes = (
-        df.filter(F.col(time).isNotNull())
-        .groupBy(*keys, pane.alias("_pane"))
-        .agg(total.alias(name))
-    )
+    pane_us = math.gcd(size_us, slide_us)
+    pane = floor_to(F.unix_micros(time), pane_us)
+    panes = df.filter(F.col(time).isNotNull()).groupBy(*keys, pane.alias("_pane")).agg(total.alias(name))
     if slide_us == size_us:
         return panes.select(*keys, (F.col("_pane") + size_us).alias("_end"), name)
-    offsets = F.array(*(F.lit(step) for step in range(slide_us, size_us + 1, slide_us)))
+    last_end = floor_to(F.col("_pane"), slide_us) + size_us  # of the latest window that holds the pane
+    earlier = F.array(*(F.lit(step) for step in range(0, size_us, slide_us)))
     return (
-        panes.select(*keys, "_pane", name, F.explode(offsets).alias("_offset"))
-        .groupBy(*keys, (F.col("_pane") + F.col("_offset")).alias("_end"))
+        panes.select(*keys, "_pane", last_end.alias("_last_end"), name, F.explode(earlier).alias("_earlier"))
+        .select(*keys, "_pane", (F.col("_last_end") - F.col("_earlier")).alias("_end"), name)
+        .filter(F.col("_end") > F.col("_pane"))
+        .groupBy(*keys, "_end")
         .agg(F.sum(name).alias(name))
     )
 
