@@ -67,7 +67,7 @@ def test_watermark(spark, by, blocks):
 
 
 def test_large_window_table_is_joined_by_shuffling(spark, monkeypatch):
-    monkeypatch.setattr(small_side.broadcast_if_small, "__defaults__", (0,))
+    monkeypatch.setattr(small_side, "MAX_BROADCAST_BYTES", 0)
     spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
     try:
         rows = _arrivals(7, 300, 4_000)
@@ -106,3 +106,19 @@ def test_arrival_position_from_any_order(spark):
         expected[b] = best
         best = v if best is None else min(best, v)
     assert {r.b: r.low for r in low.collect()} == expected
+
+
+def test_broadcast_goes_by_the_counted_size(spark):
+    table = spark.range(1_000).select("id", F.lit("x" * 100).alias("text"))
+    assert small_side.fits_broadcast(table, 1_000 * (64 + 16 + 100))
+    assert not small_side.fits_broadcast(table, 1_000 * (64 + 16 + 100) - 1)
+    hinted = small_side.broadcast_if_small(table)
+    assert "ResolvedHint" in hinted._jdf.queryExecution().analyzed().toString()
+    plain = small_side.broadcast_if_small(table, 10)
+    assert "ResolvedHint" not in plain._jdf.queryExecution().analyzed().toString()
+
+
+def test_streams_are_refused(spark):
+    stream = spark.readStream.format("rate").load()
+    with pytest.raises(ValueError):
+        late_audit(stream, "value", "1 second", time="timestamp")

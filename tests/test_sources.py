@@ -32,6 +32,7 @@ def test_csv_bad_rows(spark, folder):
     path = _write(folder, "log.csv", GOOD + "x,12,5,pv,1511658002\n")
     with pytest.raises(Exception, match="(?i)malformed"):
         read_behavior_csv(spark, path).collect()
+    assert read_behavior_csv(spark, path).select("itemId").count() == 3  # the bad field is not asked for
     kept = read_behavior_csv(spark, path, on_bad_row="keep").collect()
     assert [r.corrupt_record for r in kept] == [None, None, "x,12,5,pv,1511658002"]
     with pytest.raises(ValueError):

@@ -17,8 +17,7 @@ from pyspark.sql import functions as F
 from windrow.functions.clock import duration_micros, floor_to
 from windrow.operators.event_time import EVENT_TIME
 from windrow.operators.ordering import ROW_BLOCKS, running_before
-from windrow.operators.small_side import broadcast_if_small
-from windrow.session import enable_checkpoints
+from windrow.operators.small_side import fits_broadcast, stored
 
 _WINDOW_BLOCKS = (1 << 12,)
 
@@ -55,9 +54,11 @@ def late_audit(
     millisecond. So one grouped minimum of positions per window, and a running minimum along the
     (few) windows, give the position at which each window closed; records behind it are late.
 
-    The table of windows is computed when this is called; its size then decides whether it is
-    broadcast, in which case the records are not shuffled at all.
+    The minima per window are computed and stored when this is called; their number then decides
+    whether they are broadcast, in which case the records are not shuffled at all.
     """
+    if df.isStreaming:
+        raise ValueError("the audit replays stored arrivals; a stream drops late records in window_release")
     by = list(by)
     size_ms = duration_micros(size) // 1000
     if size_ms * 1000 != duration_micros(size):
@@ -77,16 +78,15 @@ def late_audit(
         # later windows first
         .withColumn("_rank", F.expr(f"-(_end div {size_ms})"))
     )
-    enable_checkpoints(df.sparkSession)
-    closers = closers.checkpoint()  # read more than once below
+    closers = stored(closers)  # read more than once below
+    small = fits_broadcast(closers)
     closed = running_before(closers, "_rank", "_first", "min", name="_first_beyond", by=by, blocks=_WINDOW_BLOCKS)
     keys = [*by, "_end"]
     closed = closed.select(
         *(F.col(k).alias(f"_closed_{k}") for k in keys),
         F.least("_first_at_end", "_first_beyond").alias("_closed_at"),
     )
-    closed = broadcast_if_small(closed)
-    audited = rows.join(closed, on=[F.col(k).eqNullSafe(F.col(f"_closed_{k}")) for k in keys], how="left")
+    audited = rows.join(F.broadcast(closed) if small else closed, on=[F.col(k).eqNullSafe(F.col(f"_closed_{k}")) for k in keys], how="left")
     return audited.select(
         *df.columns,
         F.timestamp_millis("_start").alias("window_start"),

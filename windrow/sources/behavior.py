@@ -22,7 +22,8 @@ def read_behavior_csv(
     """Read `path` (a file or folder; a folder when streaming) into typed columns.
 
     `on_bad_row`: `fail` stops the job at the first malformed row, `keep` leaves the raw line of
-    such rows in the column `corrupt_record` (null for good rows).
+    such rows in the column `corrupt_record` (null for good rows). Spark converts
+    only the fields that a query uses, so only those are checked.
     """
     if on_bad_row not in ("fail", "keep"):
         raise ValueError("on_bad_row must be 'fail' or 'keep'")
