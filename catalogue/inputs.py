@@ -98,26 +98,34 @@ def _json_message() -> Column:
     )
 
 
-def messages(events: DataFrame) -> DataFrame:
-    """Every event as a raw JSON message with its number and arrival time."""
-    return events.select(
-        _json_message().alias("value"), "event_id", F.col("ts").cast("timestamp").alias("timestamp")
-    )
-
-
-def arrivals(events: DataFrame) -> DataFrame:
-    """All events with a `position` in an arrival order that is not their time order.
+def _position() -> Column:
+    """The place of an event in an arrival order that is not the order of times.
 
     The order is by `event_id + event_id*7919 % 17`, then by `event_id`. Ids of equal sums differ
     by at most 16, so sum and id fit one number: `17 * sum + (16 - event_id*7919 % 17)`.
     """
     number = F.col("event_id")
     shift = (number * 7919) % 17
+    return (number + shift) * 17 + (16 - shift)
+
+
+def messages(events: DataFrame) -> DataFrame:
+    """Every event as a raw JSON message with its number, arrival time and place of arrival."""
+    return events.select(
+        _json_message().alias("value"),
+        "event_id",
+        F.col("ts").cast("timestamp").alias("timestamp"),
+        _position().alias("position"),
+    )
+
+
+def arrivals(events: DataFrame) -> DataFrame:
+    """All events with their place of arrival."""
     return events.select(
         "event_id",
         F.col("ts").cast("timestamp").alias("event_time"),
-        ((number + shift) * 17 + (16 - shift)).alias("position"),
-        (number % 4).alias("source_partition"),
+        _position().alias("position"),
+        (F.col("event_id") % 4).alias("source_partition"),
     )
 
 

@@ -113,6 +113,19 @@ def _bucket(pattern: str, time: str = "event_time") -> str:
     return f"strftime({time} + interval 8 hour, '{pattern}') as bucket"
 
 
+def _on_time(size: int) -> str:
+    """Of `good`, what a watermark that moves with every record lets through."""
+    return f"""windowed as (select *, {_window(size)} from good),
+replayed as (
+  select *,
+    epoch_us(window_end) // 1000 - 1 <= max(greatest(epoch_us(event_time) // 1000, 0)) over (
+      order by event_id + (event_id * 7919) % 17, event_id
+      rows between unbounded preceding and 1 preceding) as is_late
+  from windowed
+),
+kept as (select * from replayed where not coalesce(is_late, false))"""
+
+
 _ARRIVALS = """
 arrivals as (
   select event_id, ts, event_id % 4 as source_partition, epoch_us(ts) // 1000 as ms,
@@ -190,6 +203,10 @@ select event_id, value, reject_reason from judged where reject_reason is not nul
 select event_id, value, reject_reason from judged where reject_reason is not null""",
     "state_events_windowed": f"with {_STATE} select event_id, {_STATE_FIELDS}, {_window(10)} from good",
     "passing_records_windowed": f"with {_PASSING} select event_id, {_PASSING_FIELDS}, {_window(60)} from good",
+    "state_events_on_time": f"""with {_STATE}, {_on_time(10)}
+select event_id, {_STATE_FIELDS}, window_start, window_end from kept""",
+    "passing_records_on_time": f"""with {_PASSING}, {_on_time(60)}
+select event_id, {_PASSING_FIELDS}, window_start, window_end from kept""",
     "state_events_key_window_counts": f"""with {_STATE}
 select id, {_window(10)}, count(*) as cnt from good group by all""",
     "event_time_watermark": f"""with {_ARRIVALS}

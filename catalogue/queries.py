@@ -130,6 +130,16 @@ def passing_records_windowed(spark: SparkSession, sf_dir: str) -> DataFrame:
     return released.select("event_id", *PASSING_RECORDS.fields, plain("window_start"), plain("window_end"))
 
 
+def state_events_on_time(spark: SparkSession, sf_dir: str) -> DataFrame:
+    released = topic_records.released_state_events(_messages(spark, sf_dir), position="position")
+    return released.select("event_id", *STATE_EVENTS.fields, plain("window_start"), plain("window_end"))
+
+
+def passing_records_on_time(spark: SparkSession, sf_dir: str) -> DataFrame:
+    released = topic_records.released_passing_records(_messages(spark, sf_dir), position="position")
+    return released.select("event_id", *PASSING_RECORDS.fields, plain("window_start"), plain("window_end"))
+
+
 def state_events_key_window_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     records = good_records(normalise_state_events(_messages(spark, sf_dir)))
     counts = tumbling_count(records, "id", c.STATE_EVENT_WINDOW)
@@ -333,6 +343,8 @@ QUERIES: dict[str, Query] = {
     "passing_records_rejects": passing_records_rejects,
     "state_events_windowed": state_events_windowed,
     "passing_records_windowed": passing_records_windowed,
+    "state_events_on_time": state_events_on_time,
+    "passing_records_on_time": passing_records_on_time,
     "state_events_key_window_counts": state_events_key_window_counts,
     "event_time_watermark": event_time_watermark,
     "late_audit": late_records,

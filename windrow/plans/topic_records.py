@@ -7,6 +7,7 @@ from pyspark.sql.streaming import StreamingQuery
 
 from windrow import constants as c
 from windrow.operators.event_time import EVENT_TIME
+from windrow.operators.lateness import on_time_records
 from windrow.operators.normalise import (
     PASSING_RECORDS,
     STATE_EVENTS,
@@ -20,10 +21,18 @@ from windrow.sinks.buckets import with_bucket, write_bucketed
 from windrow.streaming.queries import start_bucketed
 
 
-def released_records(raw: DataFrame, spec: RecordSpec, size: str, *, delay: str = "0 seconds") -> DataFrame:
-    """The usable records, each when its window closes; on a stream the late ones are dropped."""
-    records = good_records(normalise(raw, spec)).withWatermark(EVENT_TIME, delay)
-    return window_release(records, size)
+def released_records(
+    raw: DataFrame, spec: RecordSpec, size: str, *, delay: str = "0 seconds", position: str | None = None
+) -> DataFrame:
+    """The usable records, each when its window closes; on a stream the late ones are dropped.
+
+    A table has no arrival order, so all its records are kept, unless `position` names the column
+    that numbers the arrivals: then the late ones are dropped as a per-record watermark would.
+    """
+    records = good_records(normalise(raw, spec))
+    if position:
+        return on_time_records(records, position, size)
+    return window_release(records.withWatermark(EVENT_TIME, delay), size)
 
 
 def released_state_events(raw: DataFrame, size: str = c.STATE_EVENT_WINDOW, **more) -> DataFrame:
@@ -48,10 +57,11 @@ def store_records(
     pattern: str,
     zone: str = c.BUCKET_ZONE,
     clock: str | None = EVENT_TIME,
+    position: str | None = None,
     mode: str = "append",
 ) -> None:
     """Bounded input: normalise and write, record fields only, one folder per bucket."""
-    released = released_records(raw, spec, size)
+    released = released_records(raw, spec, size, position=position)
     write_bucketed(_bucketed(released, spec, pattern, zone, clock), path, fmt, mode=mode)
 
 

@@ -91,8 +91,8 @@ def print_sink(rows: int = 20) -> BatchSink:
     return show
 
 
-def _deliver(batch: DataFrame, batch_id: int, sinks: Sequence[BatchSink]) -> None:
-    shared = len(sinks) > 1
+def _deliver(batch: DataFrame, batch_id: int, sinks: Sequence[BatchSink], shared: bool) -> None:
+    """Hand a micro-batch to its sinks; a `shared` one is kept, so that it is computed only once."""
     if shared:
         batch.persist(StorageLevel.MEMORY_AND_DISK)
     try:
@@ -119,7 +119,7 @@ def fan_out(
     """
 
     def deliver(batch: DataFrame, batch_id: int) -> None:
-        _deliver(batch, batch_id, sinks)
+        _deliver(batch, batch_id, sinks, shared=len(sinks) > 1)
 
     return _started(df.writeStream.outputMode(mode).foreachBatch(deliver), checkpoint, every, name)
 
@@ -144,7 +144,7 @@ def start_top_n(
 
     def ranked(batch: DataFrame, batch_id: int) -> None:
         top = top_n_per_window(batch, n, **ranking)
-        _deliver(top, batch_id, sinks)
+        _deliver(top, batch_id, sinks, shared=True)  # small, and a sink may read it more than once
 
     return _started(counts.writeStream.outputMode("append").foreachBatch(ranked), checkpoint, every, name)
 
