@@ -55,8 +55,9 @@ def _released(spark, folder):
     return sorted(map(tuple, spark.read.parquet(f"{folder}/out").select("k", "ms").collect()))
 
 
-def _run_release(feed, folder):
-    released = window_release(_timed(feed.stream()), "10 seconds").withColumn("bucket", F.lit("all"))
+def _run_release(feed, folder, delay="0 seconds"):
+    timed = feed.stream().withColumn("event_time", F.timestamp_millis("ms")).withWatermark("event_time", delay)
+    released = window_release(timed, "10 seconds").withColumn("bucket", F.lit("all"))
     query = start_bucketed(released, f"{folder}/out", checkpoint=f"{folder}/state")
     query.awaitTermination()
     return query
@@ -322,3 +323,15 @@ def test_files_roll_by_batch_and_rows_and_are_compacted(spark, folder):
     assert len(files(f"{folder}/compact")) == 1
     rows = [r.value for r in read_bucketed(spark, f"{folder}/compact", MESSAGE, "text").collect()]
     assert sorted(rows) == sorted(f"{n}-{i}" for n in range(3) for i in range(10))
+
+
+@pytest.mark.parametrize("delay, kept", [("0 seconds", False), ("10 seconds", True)])
+def test_a_delay_waits_for_late_records(spark, folder, delay, kept):
+    feed = Feed(spark, folder, RECORDS)
+    feed.add([("a", 12_000)])
+    feed.add([("a", 13_000)])
+    feed.add([("late", 5_000)])
+    feed.add([("end", 60_000)])
+    _run_release(feed, folder, delay)
+    expected = [("a", 12_000), ("a", 13_000)] + ([("late", 5_000)] if kept else [])
+    assert _released(spark, folder) == expected

@@ -1,4 +1,4 @@
-"""Run a job: `python -m windrow <job>`, or `spark-submit windrow/__main__.py <job>`.
+"""Run a job: `python -m windrow <job>`, or `spark-submit --py-files windrow.zip windrow/__main__.py <job>`.
 
 Jobs: hot-items, state-events, passing-records, message-log, message-counts, word-counts. Their
 settings default to the values in `windrow.constants`. `--once` processes what is there and stops.

@@ -39,8 +39,9 @@ def running_before(
     `position` is a BIGINT without duplicates (within `by`) and without nulls. It is cut into
     blocks of `blocks[0]` positions; since positions are unique, no block can hold more rows than
     that, whatever the data look like. The extremes of the blocks form a much smaller table of the
-    same shape, which is treated likewise with `blocks[1]`, and so on; only the topmost table,
-    smaller by the product of all block sizes, is ordered in one task.
+    same shape, which is treated likewise with `blocks[1]`, and so on. Only the topmost table is
+    ordered in one task: it has at most a row for each 2^32 numbers (the product of the default
+    `blocks`) of the range that positions span. Add a level for very sparse positions.
 
     What a block inherits from those before it enters as one more row at its front. The rows are
     therefore read twice and shuffled once, by block, and there is no join.

@@ -14,7 +14,8 @@ _CHUNK = 1 << 10
 def window_release(df: DataFrame, size: str, *, time: str = EVENT_TIME) -> DataFrame:
     """Add `window_start, window_end` of the tumbling window each record belongs to.
 
-    Bounded input: every window closes at the end of input, so this is a projection.
+    Bounded input: every window closes at the end of input, so this is a projection. Records
+    without a time belong to no window and do not come out.
 
     Stream: records appear when the watermark passes their window's end, and records that arrive
     after that are dropped. The held records are grouped by window *and all their fields* with a
