@@ -70,6 +70,15 @@ def test_overwrite_replaces_only_the_buckets_written(spark, folder):
     }
 
 
+def test_gathering_is_optional(spark, folder):
+    df = with_bucket(_records(spark), pattern="yyyy-MM-dd").drop("event_time").repartition(4)
+    write_bucketed(df, f"{folder}/gathered")
+    write_bucketed(df, f"{folder}/scattered", gather=False)
+    assert [len(f) for f in _files(f"{folder}/gathered").values()] == [1, 1]
+    assert max(len(f) for f in _files(f"{folder}/scattered").values()) > 1
+    assert _stored(read_bucketed(spark, f"{folder}/scattered", PASSING_RECORD)) == _stored(df)
+
+
 def test_writer_clock(spark):
     df = with_bucket(_records(spark), time=None, pattern="yyyy", zone="UTC")
     assert {r.bucket for r in df.collect()} == {str(datetime.datetime.now(datetime.timezone.utc).year)}

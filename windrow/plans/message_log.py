@@ -17,8 +17,9 @@ def bucketed_lines(
     return with_bucket(raw, time=clock, pattern=pattern, zone=zone).select("value", "bucket")
 
 
-def store_messages(raw: DataFrame, path: str, *, mode: str = "append", **bucket) -> None:
-    write_bucketed(bucketed_lines(raw, **bucket), path, "text", mode=mode)
+def store_messages(raw: DataFrame, path: str, *, mode: str = "append", gather: bool = True, **bucket) -> None:
+    """Bounded input: write every message to the folder of its bucket."""
+    write_bucketed(bucketed_lines(raw, **bucket), path, "text", mode=mode, gather=gather)
 
 
 def start_message_log(

@@ -59,10 +59,11 @@ def store_records(
     clock: str | None = EVENT_TIME,
     position: str | None = None,
     mode: str = "append",
+    gather: bool = True,
 ) -> None:
     """Bounded input: normalise and write, record fields only, one folder per bucket."""
     released = released_records(raw, spec, size, position=position)
-    write_bucketed(_bucketed(released, spec, pattern, zone, clock), path, fmt, mode=mode)
+    write_bucketed(_bucketed(released, spec, pattern, zone, clock), path, fmt, mode=mode, gather=gather)
 
 
 def start_records(
