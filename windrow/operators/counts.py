@@ -25,8 +25,8 @@ def windowed_count(
     """Count rows (or sum `value`) per key and window: `keys, window_start, window_end, name`.
 
     Windows start at multiples of the slide and are half open; rows without a time are in none.
-    Tumbling when `slide` is None. On a
-    stream, a window comes out when the watermark reaches its end.
+    Tumbling when `slide` is None. On a stream, a window comes out when the watermark reaches its
+    end.
     """
     keys = [keys] if isinstance(keys, str) else list(keys)
     size_us = duration_micros(size)
