@@ -5,6 +5,8 @@ import importlib
 import pytest
 from compare import assert_same, duck
 
+from catalogue.queries import QUERIES
+
 entry = importlib.import_module("__spark_entry__")
 
 
@@ -14,10 +16,11 @@ def con(sf_dir):
 
 
 def test_every_query_has_sql():
-    assert set(entry.queries()) == set(entry.oracle_sql())
+    assert set(QUERIES) <= set(entry.queries())
+    assert set(QUERIES) <= set(entry.oracle_sql())
 
 
-@pytest.mark.parametrize("name", sorted(entry.queries()))
+@pytest.mark.parametrize("name", sorted(QUERIES))
 def test_query_equals_sql(spark, sf_dir, con, name):
     assert assert_same(entry.queries()[name](spark, sf_dir), con, entry.oracle_sql()[name]) > 0
 
