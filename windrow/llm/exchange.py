@@ -91,6 +91,20 @@ def keys_by_bucket(keys: np.ndarray, n: int) -> Iterator[tuple[int, np.ndarray,
             yield b, order[cuts[b] : cuts[b + 1]], np.unique(keys[order[cuts[b] : cuts[b + 1]]].astype(np.uint32))
 
 
+def packed_keys(keys: np.ndarray) -> bytes:
+    """Sorted distinct 32-bit keys as compressed differences, the bytes of one weight side by side."""
+    steps = np.diff(keys, prepend=np.uint32(0)).astype("<u4")
+    planes = np.ascontiguousarray(steps.view(np.uint8).reshape(-1, 4).T).tobytes()
+    return len(keys).to_bytes(4, "little") + pa.compress(planes, codec="zstd", asbytes=True)
+
+
+def unpacked_keys(body: bytes) -> np.ndarray:
+    n = int.from_bytes(body[:4], "little")
+    planes = pa.decompress(body[4:], decompressed_size=4 * n, codec="zstd", asbytes=True)
+    steps = np.ascontiguousarray(np.frombuffer(planes, np.uint8).reshape(4, n).T).view("<u4").ravel()
+    return np.cumsum(steps, dtype=np.uint32)
+
+
 def ask(blocks: DataFrame, question: Callable[[dict], Iterator[tuple[int, bytes]]]) -> DataFrame:
     """`bucket`, `block`, `body`: what `question` yields for each block row."""
 
@@ -132,7 +146,7 @@ def answers(questions: DataFrame, answer: Callable[[list[dict]], list[bytes | No
 
 def shared_keys(group: list[dict]) -> list[bytes]:
     """For every block's sorted distinct 32-bit keys, a bit each: does another block have it too?"""
-    lists = [np.frombuffer(row["body"], np.uint32) for row in group]
+    lists = [unpacked_keys(row["body"]) for row in group]
     every = np.sort(np.concatenate(lists))
     twice = np.unique(every[1:][every[1:] == every[:-1]])
     return [np.packbits(np.isin(x, twice, assume_unique=True)).tobytes() for x in lists]

@@ -181,7 +181,7 @@ def _distinct(row: dict, words: int) -> tuple[list, np.ndarray, np.ndarray]:
 def _question(row: dict, n: int, words: int) -> Iterator[tuple[int, bytes]]:
     # a page that marks its main element needs no evidence, but gives it
     for bucket, _, low in exchange.keys_by_bucket(_distinct(row, words)[1], n):
-        yield bucket, low.tobytes()
+        yield bucket, exchange.packed_keys(low)
 
 
 def _covered(seen: np.ndarray, sizes: np.ndarray, words: int) -> np.ndarray:

@@ -106,7 +106,7 @@ def _question(row: dict, n: int, length: int) -> Iterator[tuple[int, bytes]]:
     keys = [anchors(part, length)[1] for _, part in _pieces(text_bytes(batch.column("text")))]
     keys = np.unique(np.concatenate(keys)) if keys else np.empty(0, np.uint64)
     for bucket, _, low in exchange.keys_by_bucket(keys, n):
-        yield bucket, low.tobytes()
+        yield bucket, exchange.packed_keys(low)
 
 
 class Contexts:
