@@ -19,8 +19,8 @@ from pyspark.sql import functions as F
 
 from windrow.session import scratch_path
 
-BLOCK_BYTES = 16 << 20
-BUCKET_BYTES = 24 << 20  # of text whose keys go to one bucket
+BLOCK_BYTES = 8 << 20
+BUCKET_BYTES = 8 << 20  # of text whose keys go to one bucket
 
 _ZSTD = pa.ipc.IpcWriteOptions(compression="zstd")
 
@@ -77,18 +77,37 @@ def bucket_count(blocks: DataFrame, bucket_bytes: int = BUCKET_BYTES) -> int:
     return int(blocks.agg(F.sum("size")).first()[0] or 0) // bucket_bytes + 1
 
 
-def keys_by_bucket(keys: np.ndarray, n: int) -> Iterator[tuple[int, np.ndarray, np.ndarray]]:
-    """Bucket, the places of its keys in `keys`, and the distinct sorted lower halves of them.
+def distinct(keys: np.ndarray) -> np.ndarray:
+    """Sorted without repeats."""
+    keys = np.sort(keys)
+    return keys[np.r_[True, keys[1:] != keys[:-1]]] if len(keys) else keys
 
-    A bucket takes a range of the upper halves. Keys of a bucket that agree in 32 bits are not told
-    apart; who asks must be able to bear with a few strangers.
+
+def _width(n: int) -> int:
+    return (1 << 64) // n + 1 if n > 1 else (1 << 64) - 1
+
+
+def bucket_of(keys: np.ndarray, n: int) -> np.ndarray:
+    return keys // np.uint64(_width(n))
+
+
+def in_bucket(keys: np.ndarray, n: int) -> np.ndarray:
+    """32-bit keys inside a bucket, in the order of the whole keys.
+
+    A few keys of a bucket may agree in them; who asks must be able to bear with strangers.
     """
-    bucket = (keys >> np.uint64(32)) * np.uint64(n) >> np.uint64(32)
-    order = np.argsort(keys, kind="stable")
-    cuts = np.searchsorted(bucket[order], np.arange(n + 1).astype(np.uint64))
+    width = _width(n)
+    return np.minimum(keys % np.uint64(width) // np.uint64(max(width >> 32, 1)), np.uint64(0xFFFFFFFF)).astype(np.uint32)
+
+
+def keys_by_bucket(keys: np.ndarray, n: int) -> Iterator[tuple[int, slice, np.ndarray]]:
+    """Bucket, the stretch of `keys` (sorted) in it, and their distinct sorted 32-bit keys."""
+    cuts = np.searchsorted(bucket_of(keys, n), np.arange(n + 1).astype(np.uint64))
+    small = in_bucket(keys, n)
     for b in range(n):
         if cuts[b] < cuts[b + 1]:
-            yield b, order[cuts[b] : cuts[b + 1]], np.unique(keys[order[cuts[b] : cuts[b + 1]]].astype(np.uint32))
+            part = small[cuts[b] : cuts[b + 1]]
+            yield b, slice(cuts[b], cuts[b + 1]), part[np.r_[True, part[1:] != part[:-1]]]
 
 
 def packed_keys(keys: np.ndarray) -> bytes:
@@ -148,8 +167,10 @@ def shared_keys(group: list[dict]) -> list[bytes]:
     """For every block's sorted distinct 32-bit keys, a bit each: does another block have it too?"""
     lists = [unpacked_keys(row["body"]) for row in group]
     every = np.sort(np.concatenate(lists))
-    twice = np.unique(every[1:][every[1:] == every[:-1]])
-    return [np.packbits(np.isin(x, twice, assume_unique=True)).tobytes() for x in lists]
+    twice = distinct(every[1:][every[1:] == every[:-1]])
+    if not len(twice):
+        return [np.packbits(np.zeros(len(x), bool)).tobytes() for x in lists]
+    return [np.packbits(twice[np.minimum(np.searchsorted(twice, x), len(twice) - 1)] == x).tobytes() for x in lists]
 
 
 def reply_of(row: dict) -> dict[int, bytes]:

@@ -171,7 +171,9 @@ def _distinct(row: dict, words: int) -> tuple[list, np.ndarray, np.ndarray]:
     ids = exchange.from_bytes(row["payload"]).column("id").to_pylist()
     number: dict = {}
     owner = np.repeat([number.setdefault(i if i is not None else ("row", k), len(number)) for k, i in enumerate(ids)], [len(p[2]) for p in pages])
-    every, inverse = np.unique(np.concatenate([p[2] for p in pages]), return_inverse=True)
+    keys = np.concatenate([p[2] for p in pages])
+    every = exchange.distinct(keys)
+    inverse = np.searchsorted(every, keys)
     low, high = np.full(len(every), len(number)), np.full(len(every), -1)
     np.minimum.at(low, inverse, owner)
     np.maximum.at(high, inverse, owner)
@@ -202,7 +204,7 @@ def _texts(row: dict, n: int, words: int) -> list[str]:
     for bucket, places, values in exchange.keys_by_bucket(every, n):
         if bucket in replies:
             bits = np.unpackbits(np.frombuffer(replies[bucket], np.uint8), count=len(values)).astype(bool)
-            shared[places] |= bits[np.searchsorted(values, every[places].astype(np.uint32))]
+            shared[places] |= bits[np.searchsorted(values, exchange.in_bucket(every[places], n))]
     out = []
     for texts, main, keys, sizes in pages:
         seen = shared[np.searchsorted(every, keys)] if len(keys) else np.empty(0, bool)

@@ -22,7 +22,6 @@ not take from each other. Each row gives a row, an empty table none. Only two co
 from __future__ import annotations
 
 import struct
-from collections import defaultdict
 from collections.abc import Iterator
 
 import numpy as np
@@ -34,7 +33,7 @@ from windrow.llm.arrow import text_bytes
 
 LENGTH = 50
 ANCHOR = 24
-PIECE_BYTES = 1 << 20
+PIECE_BYTES = 1 << 16  # the arrays of a piece stay in a core's cache
 TEXT_BYTES = 1 << 15
 LAST_ID = np.iinfo(np.int64).max
 
@@ -44,11 +43,8 @@ _M1, _M2 = np.uint64(0x9E3779B97F4A7C15), np.uint64(0xD6E8FEB86659FD93)
 def _hashes(data: np.ndarray) -> np.ndarray:
     """A hash of the ANCHOR bytes that begin at each place."""
     n = len(data) - ANCHOR + 1
-    padded = np.concatenate([data, np.zeros(8, np.uint8)])
-    words = np.empty(len(data), np.uint64)
-    for o in range(8):
-        part = padded[o : o + (len(data) - o + 7) // 8 * 8]
-        words[o::8] = np.frombuffer(part[: len(part) // 8 * 8].tobytes(), "<u8")[: len(words[o::8])]
+    # eight bytes from each place, read as one number
+    words = np.array(np.ndarray((len(data) - 7,), "<u8", data.tobytes(), strides=(1,)))
     h = words[:n] * _M1
     for k in range(8, ANCHOR, 8):
         h = (h ^ (h >> np.uint64(29)) ^ words[k : k + n]) * _M2
@@ -104,7 +100,7 @@ def anchors(texts: list[bytes], length: int = LENGTH) -> tuple[bytes, np.ndarray
 def _question(row: dict, n: int, length: int) -> Iterator[tuple[int, bytes]]:
     batch = exchange.from_bytes(row["payload"])
     keys = [anchors(part, length)[1] for _, part in _pieces(text_bytes(batch.column("text")))]
-    keys = np.unique(np.concatenate(keys)) if keys else np.empty(0, np.uint64)
+    keys = exchange.distinct(np.concatenate(keys)) if keys else np.empty(0, np.uint64)
     for bucket, _, low in exchange.keys_by_bucket(keys, n):
         yield bucket, exchange.packed_keys(low)
 
@@ -118,7 +114,8 @@ class Contexts:
         self.texts = text_bytes(batch.column("text"))
         found = [(start, *anchors(part, length)) for start, part in _pieces(self.texts)]
         keys = [f[2] for f in found]
-        every, inverse = np.unique(np.concatenate(keys), return_inverse=True) if keys else (np.empty(0, np.uint64), np.empty(0, np.int64))
+        every = exchange.distinct(np.concatenate(keys)) if keys else np.empty(0, np.uint64)
+        inverse = np.searchsorted(every, np.concatenate(keys)) if keys else np.empty(0, np.int64)
         owners = np.concatenate([f[6] + f[0] for f in found]) if found else np.empty(0, np.int64)
         shared = np.zeros(len(every), bool)
         # anchors of two texts of this block
@@ -130,7 +127,7 @@ class Contexts:
         for bucket, places, values in exchange.keys_by_bucket(every, n):
             if bucket in replies:
                 bits = np.unpackbits(np.frombuffer(replies[bucket], np.uint8), count=len(values)).astype(bool)
-                shared[places] |= bits[np.searchsorted(values, every[places].astype(np.uint32))]
+                shared[places] |= bits[np.searchsorted(values, exchange.in_bucket(every[places], n))]
         #: per distinct context: its key and bytes, place of the anchor; per occurrence: context, text, first window
         self.known: dict[tuple[int, bytes, int], int] = {}
         which, text, place = [], [], []
@@ -153,8 +150,9 @@ class Contexts:
 
     def by_bucket(self, n: int) -> Iterator[tuple[int, np.ndarray]]:
         keys = np.array([k for k, _, _ in self.known], np.uint64)
-        for bucket, places, _ in exchange.keys_by_bucket(keys, n):
-            yield bucket, places
+        order = np.argsort(keys, kind="stable")
+        for bucket, stretch, _ in exchange.keys_by_bucket(keys[order], n):
+            yield bucket, order[stretch]
 
 
 def _contexts(row: dict, n: int, length: int) -> Iterator[tuple[int, bytes]]:
@@ -201,8 +199,8 @@ def divide(text: np.ndarray, length: int) -> tuple[np.ndarray, np.ndarray]:
     symbols = np.unique(text)
     symbols = symbols[symbols > 0]
     is_symbol = before[:, None] == symbols[None, :]
-    occurs = np.zeros((n + 1, len(symbols)), np.int32)
-    np.cumsum(is_symbol, axis=0, out=occurs[1:])
+    occurs = np.zeros((n + 1, len(symbols)), np.uint16 if n < 1 << 16 else np.uint32)
+    np.cumsum(is_symbol, axis=0, out=occurs[1:], dtype=occurs.dtype)
     first = np.searchsorted(np.sort(text), symbols)  # suffixes that begin with a smaller symbol
     boundary = np.zeros(n + 1, bool)
     boundary[: closing[-1] + 1] = True  # closings differ from everything
@@ -223,8 +221,8 @@ def divide(text: np.ndarray, length: int) -> tuple[np.ndarray, np.ndarray]:
     return order, boundary[:n]
 
 
-def _settle(contexts: list[bytes], least: np.ndarray, length: int) -> list[np.ndarray]:
-    """For every window of every context the smallest id that has it."""
+def _settle(contexts: list[bytes], least: np.ndarray, length: int) -> list[list[tuple[int, int, int]]]:
+    """For every context its runs of windows (from, count) with the smallest id that has them."""
     text = np.frombuffer(b"".join(x + b"\0" for x in contexts), np.uint8).astype(np.int64)
     sizes = np.array([len(x) + 1 for x in contexts])
     ends = np.cumsum(sizes)
@@ -237,20 +235,31 @@ def _settle(contexts: list[bytes], least: np.ndarray, length: int) -> list[np.nd
     smallest = np.minimum.reduceat(least[owner[order]], starts)
     result = np.empty(len(text), np.int64)
     result[order] = np.repeat(smallest, np.diff(np.r_[starts, len(text)]))
-    return [result[e - s : e - length] for s, e in zip(sizes, ends)]
+    windows = np.flatnonzero(np.arange(len(text)) < ends[owner] - length)
+    owner, result, place = owner[windows], result[windows], windows - (ends - sizes)[owner[windows]]
+    first = np.flatnonzero(np.r_[True, (owner[1:] != owner[:-1]) | (result[1:] != result[:-1])])
+    count = np.diff(np.r_[first, len(owner)])
+    runs: list[list[tuple[int, int, int]]] = [[] for _ in contexts]
+    for o, *run in zip(owner[first].tolist(), place[first].tolist(), count.tolist(), result[first].tolist()):
+        runs[o].append(tuple(run))
+    return runs
 
 
 def _verdicts(group: list[dict], length: int) -> list[bytes | None]:
     """For each block: places of its contexts, windows in them (from, count) and the smaller id they have."""
-    batches = [exchange.from_bytes(row["body"]) for row in group]
     smallest: dict[bytes, int] = {}
-    by_key: dict[int, dict[bytes, None]] = defaultdict(dict)
-    for batch in batches:
+    only: dict[int, bytes] = {}
+    several: dict[int, dict[bytes, None]] = {}
+    for row in group:
+        batch = exchange.from_bytes(row["body"])
         for key, context, least in zip(batch.column("key").to_pylist(), batch.column("bytes").to_pylist(), batch.column("least").to_pylist()):
             if least < smallest.get(context, LAST_ID + 1):
                 smallest[context] = least
-            by_key[key][context] = None
-    settled: dict[bytes, np.ndarray] = {}
+            one = only.setdefault(key, context)
+            if one != context:
+                several.setdefault(key, {one: None})[context] = None
+    del only
+    settled: dict[bytes, list[tuple[int, int, int]]] = {}
     lot: list[bytes] = []
     size = 0
 
@@ -259,38 +268,26 @@ def _verdicts(group: list[dict], length: int) -> list[bytes | None]:
             settled.update(zip(lot, _settle(lot, np.array([smallest[c] for c in lot]), length)))
 
     # windows of different anchors differ, so any lot of whole anchors can be divided by itself
-    for found in by_key.values():
-        if len(found) > 1:
-            lot += found
-            size += sum(map(len, found))
-            if size > TEXT_BYTES:
-                flush()
-                lot, size = [], 0
+    for found in several.values():
+        lot += found
+        size += sum(map(len, found))
+        if size > TEXT_BYTES:
+            flush()
+            lot, size = [], 0
     flush()
     replies: list[bytes | None] = []
-    for batch in batches:
-        where, begin, count, ids = [], [], [], []
+    for row in group:
+        batch = exchange.from_bytes(row["body"])
+        found = []
         for i, (context, most) in enumerate(zip(batch.column("bytes").to_pylist(), batch.column("most").to_pylist())):
-            windows = settled.get(context)
-            if windows is None:
+            runs = settled.get(context)
+            if runs is None:
                 if smallest[context] < most:
-                    where.append(i)
-                    begin.append(0)
-                    count.append(len(context) - length + 1)
-                    ids.append(smallest[context])
-                continue
-            cuts = np.flatnonzero(np.r_[True, windows[1:] != windows[:-1]])
-            for a, b in zip(cuts.tolist(), [*cuts[1:].tolist(), len(windows)]):
-                if windows[a] < most:
-                    where.append(i)
-                    begin.append(a)
-                    count.append(b - a)
-                    ids.append(int(windows[a]))
-        replies.append(
-            struct.pack("<I", len(where)) + b"".join(np.array(x, t).tobytes() for x, t in ((where, "<u4"), (begin, "<u4"), (count, "<u4"), (ids, "<i8")))
-            if where
-            else None
-        )
+                    found.append((i, 0, len(context) - length + 1, smallest[context]))
+            else:
+                found += [(i, *run) for run in runs if run[2] < most]
+        columns = zip(np.array(found, np.int64).reshape(-1, 4).T, ("<u4", "<u4", "<u4", "<i8"))
+        replies.append(struct.pack("<I", len(found)) + b"".join(x.astype(t).tobytes() for x, t in columns) if found else None)
     return replies
 
 
