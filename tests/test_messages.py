@@ -168,3 +168,18 @@ def test_random_messages(spark):
     for row, want in zip(normalise_state_events(df).orderBy("n").collect(), expected):
         assert {f: row[f] for f in keys} == want, row.value
         assert row.reject_reason == ("bad_event_time" if want["time"] == "null" else None)
+
+
+def test_forged_tail_and_poison_times(spark):
+    messages = [
+        ('{"RAWID":"a","pos":1},{}] garbage', "malformed_json"),
+        ('{"RAWID":"a","pos":1},{"_end_of_message":"1"}]', "malformed_json"),
+        ('{"RAWID":"a","pos":9223372036854775}', "bad_event_time"),
+        ('{"RAWID":"a","pos":-62135596800001}', "bad_event_time"),
+        ('{"RAWID":"a","pos":253402300800000}', "bad_event_time"),
+        ('{"RAWID":"a","pos":253402300799999}', None),
+        ('{"RAWID":"a","pos":-62135596800000}', None),
+    ]
+    df = spark.createDataFrame([(i, m) for i, (m, _) in enumerate(messages)], "n int, value string")
+    found = normalise_state_events(df).select("n", "reject_reason").orderBy("n").collect()
+    assert [r[1] for r in found] == [reason for _, reason in messages]

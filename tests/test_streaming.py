@@ -245,12 +245,17 @@ def test_printing(spark, folder, events_feed):
     with contextlib.redirect_stdout(out):
         counts = tumbling_count(inputs.views(feed.stream()), "itemId", "1 day", name="view_count")
         start_top_n(
-            counts, 2, [hot.report_sink(), print_sink(5)], checkpoint=f"{folder}/s1"
+            counts, 2, [hot.report_sink(), print_sink()], checkpoint=f"{folder}/s1"
         ).awaitTermination()
     assert "No0:  商品ID=" in out.getvalue() and "view_count" in out.getvalue()
     start_console(feed.stream(), checkpoint=f"{folder}/s2").awaitTermination()
 
 
+def test_printing_is_complete(spark, capsys):
+    print_sink()(spark.range(50).selectExpr("concat('row-', id) AS name"), 0)
+    assert capsys.readouterr().out.count("row-") == 50
+
+
 def test_failures_surface(spark, folder):
     feed = Feed(spark, folder, RECORDS)
     feed.add([("a", 1)])

@@ -51,19 +51,29 @@ def strict_long(text: Column) -> Column:
     return F.when(text.rlike(r"\A[+-]?[0-9]+\z"), text.try_cast("bigint"))
 
 
+# fixed values: 0001-01-01 and the last microsecond of 9999, the range that the type documents
+FIRST_MICROS, LAST_MICROS = -62_135_596_800_000_000, 253_402_300_799_999_999
+
+
+def _micros_time(micros: Column) -> Column:
+    """Epoch microseconds to TIMESTAMP; null outside the years 1 to 9999, where clocks and windows overflow."""
+    return F.when(micros.between(FIRST_MICROS, LAST_MICROS), F.timestamp_micros(micros))
+
+
 def millis_time(millis: Column) -> Column:
-    """Epoch milliseconds to TIMESTAMP; null outside the range of the type (64-bit microseconds)."""
-    return F.timestamp_micros(F.try_multiply(millis, F.lit(1000)))
+    """Epoch milliseconds to TIMESTAMP; null outside the years 1 to 9999."""
+    return _micros_time(F.try_multiply(millis, F.lit(1000)))
 
 
 def event_time(column: Column, unit: str) -> Column:
     """A TIMESTAMP column from an epoch number (`s`, `ms`, `us`) or from a timestamp (`ts`)."""
     if unit == "s":
-        return F.timestamp_seconds(column)
+        first, last = FIRST_MICROS // 1_000_000, LAST_MICROS // 1_000_000
+        return F.when(column.between(first, last), F.timestamp_seconds(column))
     if unit == "ms":
         return millis_time(column)
     if unit == "us":
-        return F.timestamp_micros(column)
+        return _micros_time(column)
     if unit == "ts":
         return column.cast("timestamp")
     raise ValueError(f"unit must be s, ms, us or ts, not {unit!r}")

@@ -9,6 +9,8 @@ from pyspark.sql import functions as F
 
 from windrow.constants import NULL_BEFORE_COMMA, QUOTED_NULL_BEFORE_COMMA
 
+SENTINEL = "_end_of_message"
+
 _JSON_OPTIONS = {
     "mode": "PERMISSIVE",
     "allowUnquotedFieldNames": "true",
@@ -27,16 +29,20 @@ def parse_object(message: Column, keys: Mapping[str, tuple[str, str]]) -> Column
     """The keys of exactly one JSON object, all as text, in an array `[object, sentinel]`.
 
     A JSON parser stops at the end of the first value and would let text behind it pass. The
-    message is therefore parsed as the first element of an array whose second element is ours:
-    the array has two elements if and only if the message is one well-formed value.
+    message is therefore parsed as the first element of an array whose second element is ours and
+    holds a hash of the message. A message that closes the array itself and brings a second element
+    of its own would have to hold its own hash.
     """
-    wanted = dict.fromkeys(key for key, _ in keys.values())
+    wanted = dict.fromkeys([*(key for key, _ in keys.values()), SENTINEL])
     schema = "array<struct<" + ",".join(f"`{key}`:string" for key in wanted) + ">>"
-    return F.from_json(F.concat(F.lit("["), message, F.lit(",{}]")), schema, _JSON_OPTIONS)
+    end = F.concat(F.lit(f',{{"{SENTINEL}":"'), F.xxhash64(message).cast("string"), F.lit('"}]'))
+    return F.from_json(F.concat(F.lit("["), message, end), schema, _JSON_OPTIONS)
 
 
-def is_one_object(parsed: Column) -> Column:
-    return F.coalesce((F.size(parsed) == 2) & parsed[0].isNotNull(), F.lit(False))
+def is_one_object(parsed: Column, message: Column) -> Column:
+    """`message` is the text that `parse_object` was given."""
+    ours = parsed[1][SENTINEL] == F.xxhash64(message).cast("string")
+    return F.coalesce((F.size(parsed) == 2) & parsed[0].isNotNull() & ours, F.lit(False))
 
 
 def field_or_default(parsed: Column, key: str, default: str) -> Column:

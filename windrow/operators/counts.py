@@ -72,7 +72,7 @@ def _counted_panes(
     if slide_us == size_us:
         return panes.select(*keys, (F.col("_pane") + size_us).alias("_end"), name)
     last_end = floor_to(F.col("_pane"), slide_us) + size_us  # of the latest window that holds the pane
-    earlier = F.array(*(F.lit(step) for step in range(0, size_us, slide_us)))
+    earlier = F.sequence(F.lit(0).cast("long"), F.lit(size_us - 1).cast("long"), F.lit(slide_us).cast("long"))
     return (
         panes.select(*keys, "_pane", last_end.alias("_last_end"), name, F.explode(earlier).alias("_earlier"))
         .select(*keys, "_pane", (F.col("_last_end") - F.col("_earlier")).alias("_end"), name)

@@ -49,7 +49,7 @@ def normalise(df: DataFrame, spec: RecordSpec, value: str = "value") -> DataFram
     # through a generator: a filter on the fields would otherwise be moved below the projection and
     # parse the message again for each mention of a field
     parsed = df.withColumn("_parsed", F.explode(F.array(parse_object(text, spec.keys))))
-    whole = is_one_object(F.col("_parsed"))
+    whole = is_one_object(F.col("_parsed"), text)
     fields = {
         name: F.when(whole, field_or_default(F.col("_parsed"), key, default))
         for name, (key, default) in spec.keys.items()

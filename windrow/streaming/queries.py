@@ -62,11 +62,10 @@ def start_console(
     checkpoint: str,
     mode: str = "append",
     every: str | None = None,
-    rows: int = 20,
     name: str | None = None,
 ) -> StreamingQuery:
-    """Print the head of every micro-batch."""
-    writer = df.writeStream.format("console").outputMode(mode).option("numRows", rows).option("truncate", "false")
+    """Print every row of every micro-batch."""
+    writer = df.writeStream.foreachBatch(print_sink()).outputMode(mode)
     return _started(writer, checkpoint, every, name)
 
 
@@ -83,10 +82,14 @@ def batch_folder_sink(path: str, fmt: str = "parquet") -> BatchSink:
     return write
 
 
-def print_sink(rows: int = 20) -> BatchSink:
+def print_sink() -> BatchSink:
+    """Print all rows, fetched one partition at a time, below a line of the columns' names."""
+
     def show(batch: DataFrame, batch_id: int) -> None:
         print(f"batch {batch_id}")
-        batch.show(rows, truncate=False)
+        print("\t".join(batch.columns))
+        for row in batch.toLocalIterator():
+            print("\t".join(map(str, row)))
 
     return show
 
