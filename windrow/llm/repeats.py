@@ -35,6 +35,7 @@ LENGTH = 50
 ANCHOR = 24
 PIECE_BYTES = 1 << 16  # the arrays of a piece stay in a core's cache
 TEXT_BYTES = 1 << 15
+INTERVALS = 1 << 13  # extended together
 LAST_ID = np.iinfo(np.int64).max
 
 _M1, _M2 = np.uint64(0x9E3779B97F4A7C15), np.uint64(0xD6E8FEB86659FD93)
@@ -178,7 +179,7 @@ def divide(text: np.ndarray, length: int) -> tuple[np.ndarray, np.ndarray]:
 
     `text` holds numbers from 0; 0 closes a context, and no two closings are alike. The intervals of
     all strings of 0, 1, 2 ... bytes are extended backwards over the transform, all those of one length at
-    once. An extension whose end is not a boundary yet makes it one and goes on; the others have been met
+    once. An extension of which an end is not a boundary yet makes it one and goes on; the others have been met
     with a shorter string.
     """
     n = len(text)
@@ -207,15 +208,18 @@ def divide(text: np.ndarray, length: int) -> tuple[np.ndarray, np.ndarray]:
     boundary[n] = True
     low, high = np.array([0]), np.array([n])
     for _ in range(length):
-        lo, hi = occurs[low], occurs[high]
-        i, c = np.nonzero(hi > lo)
-        new_low, new_high = first[c] + lo[i, c], first[c] + hi[i, c]
-        fresh = ~boundary[new_high]
-        start_fresh = ~boundary[new_low]
-        boundary[new_high] = True
-        boundary[new_low] = True
-        go = fresh | start_fresh
-        low, high = new_low[go], new_high[go]
+        ends, fresh_low, fresh_high = [], [], []
+        for a in range(0, len(low), INTERVALS):
+            lo, hi = occurs[low[a : a + INTERVALS]], occurs[high[a : a + INTERVALS]]
+            i, c = np.nonzero(hi > lo)
+            new_low, new_high = first[c] + lo[i, c], first[c] + hi[i, c]
+            ends += [new_low, new_high]
+            fresh = ~boundary[new_high] | ~boundary[new_low]
+            fresh_low.append(new_low[fresh])
+            fresh_high.append(new_high[fresh])
+        for places in ends:
+            boundary[places] = True
+        low, high = np.concatenate(fresh_low), np.concatenate(fresh_high)
         if not len(low):
             break
     return order, boundary[:n]
