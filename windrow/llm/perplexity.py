@@ -127,12 +127,13 @@ def model(counts: DataFrame) -> list[DataFrame]:
         n = F.col("n")
         seen = [F.count(F.when(n == k, 1)) for k in (1, 2, 3, 4)]
         of = now.groupBy("lang").agg(*(s.cast("double").alias(f"n{k}") for k, s in enumerate(seen, 1)))
-        y = F.col("n1") / (F.col("n1") + 2 * F.col("n2"))
+        # null where nothing was seen: a condition before a division does not keep it from being worked out
+        y = F.try_divide(F.col("n1"), F.col("n1") + 2 * F.col("n2"))
 
         def discount(k: int) -> Column:
-            made = k - (k + 1) * y * F.col(f"n{k + 1}") / F.col(f"n{k}")
+            made = k - F.try_divide((k + 1) * y * F.col(f"n{k + 1}"), F.col(f"n{k}"))
             # too few strings to tell: the middle of what is possible
-            return F.when((F.col("n1") > 0) & (F.col(f"n{k}") > 0) & made.between(0, k), made).otherwise(F.lit(k / 2))
+            return F.when((F.col("n1") > 0) & made.between(0, k), made).otherwise(F.lit(k / 2))
 
         of = of.select(F.col("lang").alias("of"), F.array(*(discount(k) for k in (1, 2, 3))).alias("d"))
         whole = now.join(F.broadcast(of) if _few(of) else of, F.col("lang") == F.col("of"))
