@@ -242,6 +242,9 @@ def test_perplexity(spark, sf_dir):
     assert good.kept.mean() > 0.97 and bad.kept.mean() < 0.6
     blank = spark.createDataFrame([(1, None, None), (2, "", "en"), (None, "abc", "en")], "doc_id long, text string, lang string")
     assert perplexity.classify(blank, labels.limit(0)).filter("kept").count() == 3
+    joined = perplexity.classify(docs, labels, broadcast_rows=0).toPandas().set_index("doc_id")
+    sent = perplexity.classify(docs, labels).toPandas().set_index("doc_id").loc[joined.index]
+    assert (joined.kept == sent.kept).all() and (joined.perplexity - sent.perplexity).abs().max() < 1e-9
 
 
 def test_secrets(spark, docs, rows):

@@ -2,9 +2,9 @@
 
 The model of a language is made of strings of `ORDER` bytes. Trusted documents are those that the labels
 call good; nine tenths of them (by a hash of the id) train, the rest calibrate. Counting, discounts and
-the tables of every order are Spark aggregations over (language, string); documents ask for the
-strings they hold, each block of documents once for a string, and a join gives them their
-probabilities. A document is kept if its perplexity is at most `margin` times the `quantile` of its language's calibration
+the tables of every order are Spark aggregations over (language, string). Their rows are counted: up
+to `broadcast_rows` of them go to every executor; beyond that, each block of documents asks once for
+every string it holds, and joins give the probabilities, the same ones. A document is kept if its perplexity is at most `margin` times the `quantile` of its language's calibration
 documents. A language with fewer than `min_calibration` of them takes the quantile of all languages together; without
 any, and for texts shorter than `min_bytes`, the verdict is to keep. A string the model of the language does not know backs off to
 shorter ones, at last to a uniform byte.
@@ -31,6 +31,7 @@ from windrow.session import scratch_path
 
 ORDER = 4
 START = b"\x02"
+BROADCAST_ROWS = 1 << 21  # of a key and a number, 16 bytes
 
 
 @dataclass(frozen=True)
@@ -167,12 +168,41 @@ def probabilities(strings: DataFrame, tables: list[DataFrame]) -> DataFrame:
     return rows.select("lang", "gram", F.log(p + left / 256).alias("logp"))
 
 
-def _scored(row: dict) -> Iterator[pa.RecordBatch]:
-    known: dict[str, tuple[np.ndarray, np.ndarray]] = {}
-    for part in row["model"] or []:
-        keys, values = np.array(part["grams"], np.int64), np.array(part["logs"], np.float64)
-        order = np.argsort(keys)
-        known[part["lang"]] = keys[order], values[order]
+def _looked_up(keys: np.ndarray, table: tuple[np.ndarray, np.ndarray], default: float) -> np.ndarray:
+    known, values = table
+    if not len(known):
+        return np.full(len(keys), default)
+    at = np.minimum(np.searchsorted(known, keys), len(known) - 1)
+    return np.where(known[at] == keys, values[at], default)
+
+
+def interpolated(keys: np.ndarray, tables: list[tuple[np.ndarray, np.ndarray]]) -> np.ndarray:
+    """What `probabilities` gives, from the sorted tables of one language."""
+    p, left = np.zeros(len(keys)), np.ones(len(keys))
+    for k, order in enumerate(range(ORDER, 0, -1)):
+        cut = keys & ((1 << 8 * order) - 1)
+        p += left * _looked_up(cut, tables[2 * k], 0.0)
+        left *= _looked_up(cut >> 8, tables[2 * k + 1], 1.0)
+    return np.log(p + left / 256)
+
+
+def _gathered(tables: list[DataFrame]) -> dict[str, list[tuple[np.ndarray, np.ndarray]]]:
+    """For each language its sorted tables; only for tables whose rows have been counted."""
+    found: dict[str, list[tuple[np.ndarray, np.ndarray]]] = {}
+    nothing = np.empty(0, np.int64), np.empty(0)
+    for k, table in enumerate(tables):
+        rows = table.toArrow()
+        langs = rows.column(0).combine_chunks().dictionary_encode()
+        codes, keys, values = langs.indices.to_numpy(), rows.column(1).to_numpy(), rows.column(2).to_numpy()
+        for code, lang in enumerate(langs.dictionary.to_pylist()):
+            mine = np.flatnonzero(codes == code)
+            mine = mine[np.argsort(keys[mine])]
+            found.setdefault(lang, [nothing] * len(tables))[k] = keys[mine], values[mine]
+    return found
+
+
+def _scored(row: dict, known: dict[str, tuple[np.ndarray, np.ndarray]]) -> Iterator[pa.RecordBatch]:
+    """`known` has for every language the sorted strings of the block and their logarithms."""
     ids, langs, sizes, scores = [], [], [], []
     for key, lang, text in _rows(row):
         ids.append(key)
@@ -189,7 +219,48 @@ def _scored(row: dict) -> Iterator[pa.RecordBatch]:
     )
 
 
-def score(docs: DataFrame, trusted: DataFrame, key: str = "doc_id", text: str = "text", lang: str = "lang") -> DataFrame:
+SCORED = "id long, lang string, n_bytes long, perplexity double"
+
+
+def _scored_by_broadcast(blocks: DataFrame, tables: list[DataFrame]) -> DataFrame:
+    shared = blocks.sparkSession.sparkContext.broadcast(_gathered(tables))
+
+    def run(row: dict) -> Iterator[pa.RecordBatch]:
+        known = {}
+        for lang, texts in _by_language(_rows(row)).items():
+            keys, _ = _counted(texts)
+            unknown = [(np.empty(0, np.int64), np.empty(0))] * 2 * ORDER
+            known[lang] = keys, interpolated(keys, shared.value.get(lang, unknown))
+        return _scored(row, known)
+
+    return _each_block(blocks, run, SCORED)
+
+
+def _scored_by_joins(blocks: DataFrame, tables: list[DataFrame]) -> DataFrame:
+    wanted = _stored(_each_block(blocks, _wanted, "block long, lang string, gram long"), "wanted")
+    logs = _stored(probabilities(wanted.select("lang", "gram").distinct(), tables), "logs")
+    packed = wanted.join(logs, ["lang", "gram"]).groupBy("block", "lang").agg(F.collect_list(F.struct("gram", "logp")).alias("p"))
+    packed = packed.groupBy("block").agg(F.collect_list(F.struct("lang", F.col("p.gram").alias("grams"), F.col("p.logp").alias("logs"))).alias("model"))
+
+    def run(row: dict) -> Iterator[pa.RecordBatch]:
+        known = {}
+        for part in row["model"] or []:
+            keys, values = np.array(part["grams"], np.int64), np.array(part["logs"], np.float64)
+            order = np.argsort(keys)
+            known[part["lang"]] = keys[order], values[order]
+        return _scored(row, known)
+
+    return _each_block(blocks.join(packed, "block", "left"), run, SCORED)
+
+
+def score(
+    docs: DataFrame,
+    trusted: DataFrame,
+    key: str = "doc_id",
+    text: str = "text",
+    lang: str = "lang",
+    broadcast_rows: int = BROADCAST_ROWS,
+) -> DataFrame:
     """`id`, `lang`, `n_bytes`, `perplexity`, `calibrates` of every document. `trusted` has distinct ids in `id`."""
     rows = docs.select(F.col(key).cast("long").alias("id"), F.coalesce(F.col(lang), F.lit("")).alias("lang"), F.col(text).alias("text"))
     blocks = exchange.pack(rows, "documents")
@@ -203,11 +274,8 @@ def score(docs: DataFrame, trusted: DataFrame, key: str = "doc_id", text: str =
     counts = _each_block(blocks.join(trained, "block"), _training, "lang string, gram long, n long")
     tables = model(counts.groupBy("lang", "gram").agg(F.sum("n").alias("n")))
 
-    wanted = _stored(_each_block(blocks, _wanted, "block long, lang string, gram long"), "wanted")
-    logs = _stored(probabilities(wanted.select("lang", "gram").distinct(), tables), "logs")
-    packed = wanted.join(logs, ["lang", "gram"]).groupBy("block", "lang").agg(F.collect_list(F.struct("gram", "logp")).alias("p"))
-    packed = packed.groupBy("block").agg(F.collect_list(F.struct("lang", F.col("p.gram").alias("grams"), F.col("p.logp").alias("logs"))).alias("model"))
-    scored = _each_block(blocks.join(packed, "block", "left"), _scored, "id long, lang string, n_bytes long, perplexity double")
+    n_rows = sum(table.count() for table in tables)
+    scored = (_scored_by_broadcast if n_rows <= broadcast_rows else _scored_by_joins)(blocks, tables)
     scored = _stored(scored, "scored")
     return scored.join(trusted.withColumnRenamed("id", "_id"), F.col("id") == F.col("_id"), "left").select(
         "id", "lang", "n_bytes", "perplexity", F.coalesce("calibrates", F.lit(False)).alias("calibrates")
@@ -222,10 +290,11 @@ def classify(
     text: str = "text",
     lang: str = "lang",
     quality: str = "quality",
+    broadcast_rows: int = BROADCAST_ROWS,
 ) -> DataFrame:
     """`key`, `n_bytes`, `perplexity`, `limit` (null: none could be set) and `kept` of every document."""
     trusted = labels.filter((F.col(quality) == 1) & F.col(key).isNotNull()).select(F.col(key).cast("long").alias("id")).distinct()
-    scored = _stored(score(docs, trusted, key, text, lang), "perplexities")
+    scored = _stored(score(docs, trusted, key, text, lang, broadcast_rows), "perplexities")
     judged = scored.filter("calibrates").filter(F.col("n_bytes") >= limits.min_bytes)
     quantile = F.percentile_approx("perplexity", F.lit(limits.quantile), F.lit(10000))
     overall = judged.agg((quantile * limits.margin).alias("q")).first()["q"]
