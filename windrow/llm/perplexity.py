@@ -25,7 +25,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from windrow.llm import exchange
-from windrow.llm.arrow import text_bytes
+from windrow.llm.arrow import chunks, text_bytes
 from windrow.operators.small_side import broadcast_if_small
 from windrow.session import scratch_path
 
@@ -52,12 +52,15 @@ def grams(text: bytes) -> np.ndarray:
     return out
 
 
-def _rows(row: dict) -> Iterator[tuple[object, str, bytes]]:
-    batch = exchange.from_bytes(row["payload"])
-    yield from zip(batch.column("id").to_pylist(), batch.column("lang").to_pylist(), text_bytes(batch.column("text")))
+def _batch_rows(batch: pa.RecordBatch) -> list[tuple[object, str, bytes]]:
+    return list(zip(batch.column("id").to_pylist(), batch.column("lang").to_pylist(), text_bytes(batch.column("text"))))
 
 
-def _by_language(rows: Iterator[tuple[object, str, bytes]]) -> dict[str, list[bytes]]:
+def _block_rows(row: dict) -> list[tuple[object, str, bytes]]:
+    return _batch_rows(exchange.from_bytes(row["payload"]))
+
+
+def _by_language(rows: list[tuple[object, str, bytes]]) -> dict[str, list[bytes]]:
     texts: dict[str, list[bytes]] = {}
     for _, lang, text in rows:
         texts.setdefault(lang, []).append(text)
@@ -88,15 +91,29 @@ def _each_block(blocks: DataFrame, body, schema: str) -> DataFrame:
     return blocks.mapInArrow(run, schema)
 
 
-def _training(row: dict) -> Iterator[pa.RecordBatch]:
-    trained = set(row["trained"] or ())
-    for lang, texts in _by_language(r for r in _rows(row) if r[0] in trained).items():
-        keys, counts = _counted(texts)
-        yield pa.RecordBatch.from_arrays([pa.array([lang] * len(keys)), pa.array(keys), pa.array(counts)], ["lang", "gram", "n"])
+def _training(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Strings of all texts and their counts, combined over a few batches."""
+    held: dict[str, list[bytes]] = {}
+    size = 0
+
+    def counted() -> Iterator[pa.RecordBatch]:
+        for lang, texts in held.items():
+            keys, counts = _counted(texts)
+            yield pa.RecordBatch.from_arrays([pa.array([lang] * len(keys), pa.string()), pa.array(keys), pa.array(counts)], ["lang", "gram", "n"])
+
+    for batch in batches:
+        for part, texts in chunks(batch, "text"):
+            for lang, text in zip(part.column("lang").to_pylist(), texts):
+                held.setdefault(lang, []).append(text)
+                size += len(text)
+            if size > exchange.BLOCK_BYTES:
+                yield from counted()
+                held, size = {}, 0
+    yield from counted()
 
 
 def _wanted(row: dict) -> Iterator[pa.RecordBatch]:
-    for lang, texts in _by_language(_rows(row)).items():
+    for lang, texts in _by_language(_block_rows(row)).items():
         keys, _ = _counted(texts)
         yield pa.RecordBatch.from_arrays(
             [pa.array([row["block"]] * len(keys), pa.int64()), pa.array([lang] * len(keys)), pa.array(keys)], ["block", "lang", "gram"]
@@ -201,10 +218,10 @@ def _gathered(tables: list[DataFrame]) -> dict[str, list[tuple[np.ndarray, np.nd
     return found
 
 
-def _scored(row: dict, known: dict[str, tuple[np.ndarray, np.ndarray]]) -> Iterator[pa.RecordBatch]:
-    """`known` has for every language the sorted strings of the block and their logarithms."""
+def _scored(rows: list[tuple[object, str, bytes]], known: dict[str, tuple[np.ndarray, np.ndarray]]) -> Iterator[pa.RecordBatch]:
+    """`known` has for every language the sorted strings of the rows and their logarithms."""
     ids, langs, sizes, scores = [], [], [], []
-    for key, lang, text in _rows(row):
+    for key, lang, text in rows:
         ids.append(key)
         langs.append(lang)
         sizes.append(len(text))
@@ -222,21 +239,25 @@ def _scored(row: dict, known: dict[str, tuple[np.ndarray, np.ndarray]]) -> Itera
 SCORED = "id long, lang string, n_bytes long, perplexity double"
 
 
-def _scored_by_broadcast(blocks: DataFrame, tables: list[DataFrame]) -> DataFrame:
-    shared = blocks.sparkSession.sparkContext.broadcast(_gathered(tables))
+def _scored_by_broadcast(rows: DataFrame, tables: list[DataFrame]) -> DataFrame:
+    shared = rows.sparkSession.sparkContext.broadcast(_gathered(tables))
 
-    def run(row: dict) -> Iterator[pa.RecordBatch]:
-        known = {}
-        for lang, texts in _by_language(_rows(row)).items():
-            keys, _ = _counted(texts)
-            unknown = [(np.empty(0, np.int64), np.empty(0))] * 2 * ORDER
-            known[lang] = keys, interpolated(keys, shared.value.get(lang, unknown))
-        return _scored(row, known)
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        unknown = [(np.empty(0, np.int64), np.empty(0))] * 2 * ORDER
+        for batch in batches:
+            for part, _ in chunks(batch, "text"):
+                texts = _batch_rows(part)
+                known = {}
+                for lang, mine in _by_language(texts).items():
+                    keys, _ = _counted(mine)
+                    known[lang] = keys, interpolated(keys, shared.value.get(lang, unknown))
+                yield from _scored(texts, known)
 
-    return _each_block(blocks, run, SCORED)
+    return rows.mapInArrow(run, SCORED)
 
 
-def _scored_by_joins(blocks: DataFrame, tables: list[DataFrame]) -> DataFrame:
+def _scored_by_joins(rows: DataFrame, tables: list[DataFrame]) -> DataFrame:
+    blocks = exchange.pack(rows, "documents")
     wanted = _stored(_each_block(blocks, _wanted, "block long, lang string, gram long"), "wanted")
     logs = _stored(probabilities(wanted.select("lang", "gram").distinct(), tables), "logs")
     packed = wanted.join(logs, ["lang", "gram"]).groupBy("block", "lang").agg(F.collect_list(F.struct("gram", "logp")).alias("p"))
@@ -248,7 +269,7 @@ def _scored_by_joins(blocks: DataFrame, tables: list[DataFrame]) -> DataFrame:
             keys, values = np.array(part["grams"], np.int64), np.array(part["logs"], np.float64)
             order = np.argsort(keys)
             known[part["lang"]] = keys[order], values[order]
-        return _scored(row, known)
+        return _scored(_block_rows(row), known)
 
     return _each_block(blocks.join(packed, "block", "left"), run, SCORED)
 
@@ -263,19 +284,13 @@ def score(
 ) -> DataFrame:
     """`id`, `lang`, `n_bytes`, `perplexity`, `calibrates` of every document. `trusted` has distinct ids in `id`."""
     rows = docs.select(F.col(key).cast("long").alias("id"), F.coalesce(F.col(lang), F.lit("")).alias("lang"), F.col(text).alias("text"))
-    blocks = exchange.pack(rows, "documents")
     trusted = trusted.select("id", (F.pmod(F.xxhash64("id"), F.lit(10)) == 0).alias("calibrates"))
-    held = _each_block(
-        blocks,
-        lambda row: iter([pa.RecordBatch.from_arrays([pa.array([row["block"]] * len(i), pa.int64()), i], ["block", "id"]) for i in [exchange.from_bytes(row["payload"]).column("id")]]),
-        "block long, id long",
-    )
-    trained = held.join(trusted.filter(~F.col("calibrates")), "id").groupBy("block").agg(F.collect_set("id").alias("trained"))
-    counts = _each_block(blocks.join(trained, "block"), _training, "lang string, gram long, n long")
+    trained = rows.join(trusted.filter(~F.col("calibrates")).select("id"), "id")
+    counts = trained.mapInArrow(_training, "lang string, gram long, n long")
     tables = model(counts.groupBy("lang", "gram").agg(F.sum("n").alias("n")))
 
     n_rows = sum(table.count() for table in tables)
-    scored = (_scored_by_broadcast if n_rows <= broadcast_rows else _scored_by_joins)(blocks, tables)
+    scored = (_scored_by_broadcast if n_rows <= broadcast_rows else _scored_by_joins)(rows, tables)
     scored = _stored(scored, "scored")
     return scored.join(trusted.withColumnRenamed("id", "_id"), F.col("id") == F.col("_id"), "left").select(
         "id", "lang", "n_bytes", "perplexity", F.coalesce("calibrates", F.lit(False)).alias("calibrates")
