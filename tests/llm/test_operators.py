@@ -96,6 +96,24 @@ def test_token_codes(spark, docs, rows, none):
     assert token_codes.read_digests(spark, path).count() == 0
 
 
+def test_words_are_encoded_as_in_whole_texts():
+    tokenizer = Tokenizer.from_file(queries.WORD_TOKENIZER)
+    tokenizer.encode_special_tokens = True
+    odd = [chr(i) for i in [*range(0x180), 0x130, 0x301, 0x307, 0x331, 0x85, 0xA0, 0x2028, 0x3000, 0x3A3, 0x1100, 0x1161, 0x1F600]]
+    odd += ["'s", "'T", "<|endoftext|>", "H\u0331", " \u0301", "don't", "12a", "</w>"]
+    draw = random.Random(3)
+    texts = ["".join(draw.choice([*odd, " ", " ", "\n", "e"]) for _ in range(draw.randrange(200))) for _ in range(400)]
+    encoder = token_codes.Encoder(queries.WORD_TOKENIZER)
+    whole = tokenizer.encode_batch(texts, add_special_tokens=False)
+    assert [x.tolist() for x in encoder.encode([t.encode() for t in texts])] == [[*x.ids, token_codes.END_ID] for x in whole]
+    encoder.held = token_codes.CACHE_BYTES + 1
+    assert encoder.encode([b"", b"a  b"])[0].tolist() == [token_codes.END_ID]
+    assert set(encoder.known) == {b"a", b"b"}
+    encoder.held = token_codes.CACHE_BYTES + 1
+    assert encoder.encode([b"b c"])[0].tolist() == [*tokenizer.encode("b c", add_special_tokens=False).ids, token_codes.END_ID]
+    assert set(encoder.old) == {b"a", b"b"} and set(encoder.known) == {b"b", b"c"}
+
+
 def test_quality(docs, rows, none):
     found = quality.quality(docs).select("doc_id", "text", "_quality_.*").collect()
     assert len(found) == len(rows)

@@ -19,6 +19,7 @@ import functools
 import os
 import struct
 import zlib
+from array import array
 from collections.abc import Iterator
 
 import numpy as np
@@ -35,6 +36,9 @@ CHUNK_BITS = 8
 DIRECTORY_BITS = 512
 SEGMENT_TOKENS = 1 << 21
 END_ID = 1
+CACHE_BYTES = 128 << 20
+WORD_BYTES = 180  # of a known word besides its bytes and ids
+_END = array("I", [END_ID]).tobytes()
 
 
 def _level(values: np.ndarray) -> tuple[bytes, np.ndarray]:
@@ -109,14 +113,42 @@ class Segment:
         return value
 
 
-@functools.cache
-def _tokenizer(path: str):
-    os.environ["TOKENIZERS_PARALLELISM"] = "false"  # a task has one core
-    from tokenizers import Tokenizer
+class Encoder:
+    """Ids of whole texts by way of their words, for tokenizers that never join or look across white space.
+
+    A text is cut at ASCII white space, as no normal form and no pattern of such a tokenizer reaches over it, and
+    the library encodes each word that is not known yet. Once the known words hold `CACHE_BYTES` they become the old
+    ones, and of the old ones those not met again are forgotten.
+    """
 
-    found = Tokenizer.from_file(path)
-    found.encode_special_tokens = True
-    return found
+    def __init__(self, path: str):
+        os.environ["TOKENIZERS_PARALLELISM"] = "false"  # a task has one core
+        from tokenizers import Tokenizer
+
+        self.tokenizer = Tokenizer.from_file(path)
+        self.tokenizer.encode_special_tokens = True
+        self.known: dict[bytes, bytes] = {}
+        self.old: dict[bytes, bytes] = {}
+        self.held = 0
+
+    def encode(self, texts: list[bytes]) -> list[np.ndarray]:
+        """The ids of every text, with the end id."""
+        cut = [text.split() for text in texts]
+        if self.held > CACHE_BYTES:
+            self.old, self.known, self.held = self.known, {}, 0
+        known, old = self.known, self.old
+        wanted = set().union(*cut).difference(known)
+        new = [w for w in wanted if w not in old]
+        found = self.tokenizer.encode_batch_fast([w.decode() for w in new], add_special_tokens=False)
+        known.update((w, old[w]) for w in wanted if w in old)
+        known.update((w, array("I", one.ids).tobytes()) for w, one in zip(new, found))
+        self.held += sum(len(w) + len(known[w]) + WORD_BYTES for w in wanted)
+        return [np.frombuffer(b"".join([*map(known.__getitem__, words), _END]), np.uint32) for words in cut]
+
+
+@functools.cache
+def _encoder(path: str) -> Encoder:
+    return Encoder(path)
 
 
 def write(
@@ -127,7 +159,7 @@ def write(
     rows = rows.repartitionByRange("key", F.xxhash64("text")).sortWithinPartitions("key")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        encoder = _tokenizer(tokenizer)
+        encoder = _encoder(tokenizer)
         part = TaskContext.get().partitionId() << 32
         keys, sizes, ids, held, number = [], [], [], 0, 0
 
@@ -137,10 +169,8 @@ def write(
             return pa.RecordBatch.from_arrays([*columns, pa.array([pack(keys, sizes, flat)], pa.binary())], ["segment", "first", "n_tokens", "payload"])
 
         for batch in batches:
-            for piece, _ in chunks(batch, "text"):
-                texts = [t or "" for t in piece.column("text").to_pylist()]
-                for k, found in zip(piece.column("key").to_pylist(), encoder.encode_batch_fast(texts, add_special_tokens=False)):
-                    new = np.array([*found.ids, END_ID], np.uint32)
+            for piece, texts in chunks(batch, "text"):
+                for k, new in zip(piece.column("key").to_pylist(), encoder.encode(texts)):
                     keys.append(k)
                     sizes.append(len(new))
                     ids.append(new)
