@@ -285,7 +285,7 @@ def score(
     """`id`, `lang`, `n_bytes`, `perplexity`, `calibrates` of every document. `trusted` has distinct ids in `id`."""
     rows = docs.select(F.col(key).cast("long").alias("id"), F.coalesce(F.col(lang), F.lit("")).alias("lang"), F.col(text).alias("text"))
     trusted = trusted.select("id", (F.pmod(F.xxhash64("id"), F.lit(10)) == 0).alias("calibrates"))
-    trained = rows.join(trusted.filter(~F.col("calibrates")).select("id"), "id")
+    trained = rows.join(broadcast_if_small(trusted.filter(~F.col("calibrates")).select("id")), "id")
     counts = trained.mapInArrow(_training, "lang string, gram long, n long")
     tables = model(counts.groupBy("lang", "gram").agg(F.sum("n").alias("n")))
 
