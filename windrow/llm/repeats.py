@@ -35,6 +35,8 @@ LENGTH = 50
 ANCHOR = 24
 PIECE_BYTES = 1 << 16  # the arrays of a piece stay in a core's cache
 TEXT_BYTES = 1 << 15
+BLOCK_BYTES = 4 << 20  # a block's or a bucket's contexts have several times the bytes of its text, in Python objects
+BUCKET_BYTES = 4 << 20
 INTERVALS = 1 << 13  # extended together
 LAST_ID = np.iinfo(np.int64).max
 
@@ -331,8 +333,8 @@ def _marked(row: dict, n: int, length: int) -> tuple[list[bytes], list[np.ndarra
 def _judged(docs: DataFrame, key: str, text: str, length: int) -> tuple[DataFrame, int]:
     """Blocks with the verdicts on their contexts, and the number of buckets."""
     rows = docs.select(docs[key].cast("long").alias("id"), docs[text].alias("text"))
-    blocks = exchange.pack(rows, "repeats")
-    n = exchange.bucket_count(blocks)
+    blocks = exchange.pack(rows, "repeats", limit=BLOCK_BYTES)
+    n = exchange.bucket_count(blocks, BUCKET_BYTES)
     shared = exchange.answers(exchange.ask(blocks, lambda row: _question(row, n, length)), exchange.shared_keys, "shared")
     asked = blocks.join(shared, "block", "left")
     verdicts = exchange.answers(exchange.ask(asked, lambda row: _contexts(row, n, length)), lambda g: _verdicts(g, length), "verdicts")
