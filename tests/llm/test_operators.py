@@ -186,6 +186,27 @@ def test_decontaminate(spark, docs, rows, none, shard_words):
     assert decontaminate.find(none, bench).count() == 0
 
 
+def test_cut_does_not_depend_on_shards(spark):
+    let_workers_import(spark)
+    w = [f"w{i}x" for i in range(40)]
+    items = [(1, " ".join(w[:10])), (2, " ".join(w[5:15])), (3, " ".join([*w[20:25], *w[30:35]]))]
+    texts = [
+        " ".join(w[:15]) + " and" * 20,  # overlapping hits of two items
+        " ".join([*w[:10], *["own"] * 11, *w[5:15]]),  # two thirds by two items, one third by each
+        " ".join([*w[20:25], *w[:10], *w[30:35], *["end"] * 20]),  # item 3 only where item 1 has been cut
+        "nothing here",
+        None,
+    ]
+    texts += [texts[0], texts[1]]
+    rows = [(i, t, len(t or "")) for i, t in enumerate(texts)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, n_chars long")
+    bench = spark.createDataFrame(items, "item_id long, text string").coalesce(1)
+    one, many = ({tuple(r) for r in decontaminate.remove(docs, bench, shard_words=n).collect()} for n in (1 << 20, 10))
+    assert one == many and {r[0] for r in many} == {0, 2, 3, 4, 5}
+    assert {r[0]: r[1] for r in many}[0] == " and" * 20
+    assert {r[0]: r[1] for r in many}[2] == " ".join([*w[20:25], "", *w[30:35], *["end"] * 20])
+
+
 def test_simhash(spark, docs, rows, none):
     def fingerprint(text):
         words = (text or "").encode().lower().split()

@@ -16,20 +16,25 @@ columns named are read; an empty table gives an empty result.
 
 from __future__ import annotations
 
+import functools
 import hashlib
+import itertools
+import json
 import re
 from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from windrow.llm.arrow import chunks
+from windrow.operators.small_side import broadcast_if_small
 
 WINDOW = 10
 SHARD_WORDS = 1 << 20
 MAX_COVERAGE = 0.5
+DIGEST, HITS = "_decontaminate_digest", "_decontaminate_hits"
 WORD = re.compile(rb"[^\x00-\x2F\x3A-\x60\x7B-\x7F]+")
 
 
@@ -184,6 +189,23 @@ def _scan(docs: DataFrame, automaton: Automaton, key: str, text: str, window: in
 SPANS = pa.list_(pa.struct([("start", pa.int32()), ("stop", pa.int32())]))
 
 
+def _merged(spans: Column) -> Column:
+    """Sorted spans without overlaps."""
+    empty = F.array().cast("array<struct<start:int,stop:int>>")
+    merged = F.aggregate(
+        spans,
+        empty,
+        lambda done, s: F.when(
+            (F.size(done) > 0) & (F.element_at(done, -1)["stop"] >= s["start"]),
+            F.concat(
+                F.slice(done, 1, F.size(done) - 1),
+                F.array(F.struct(F.element_at(done, -1)["start"].alias("start"), F.greatest(F.element_at(done, -1)["stop"], s["stop"]).alias("stop"))),
+            ),
+        ).otherwise(F.concat(done, F.array(s))),
+    )
+    return F.when(F.size(spans) > 0, merged).otherwise(empty)
+
+
 def find(
     docs: DataFrame,
     benchmark: DataFrame,
@@ -214,20 +236,7 @@ def find(
         F.array_sort(F.flatten(F.collect_list("spans"))).alias("spans"),
         F.array_sort(F.array_distinct(F.flatten(F.collect_list("items")))).alias("items"),
     )
-    empty = F.array().cast("array<struct<start:int,stop:int>>")
-    merged = F.aggregate(
-        "spans",
-        empty,
-        lambda done, s: F.when(
-            (F.size(done) > 0) & (F.element_at(done, -1)["stop"] >= s["start"]),
-            F.concat(
-                F.slice(done, 1, F.size(done) - 1),
-                F.array(F.struct(F.element_at(done, -1)["start"].alias("start"), F.greatest(F.element_at(done, -1)["stop"], s["stop"]).alias("stop"))),
-            ),
-        ).otherwise(F.concat(done, F.array(s))),
-    )
-    merged = F.when(F.size("spans") > 0, merged).otherwise(empty)
-    rows = joined.withColumn("spans", merged).withColumn("copy", F.explode(F.sequence(F.lit(1), F.col("copies").cast("int"))))
+    rows = joined.withColumn("spans", _merged(F.col("spans"))).withColumn("copy", F.explode(F.sequence(F.lit(1), F.col("copies").cast("int"))))
     return rows.select(key, "n_words", n_hit.alias("n_hit"), "spans", "items")
 
 
@@ -245,30 +254,52 @@ def remove(
     """`docs` without the spans that are hit, each cut from its first to its last word.
 
     Documents of which more than `max_coverage` of the words are hit go altogether. Texts without a
-    hit stay as they are. `n_chars`, if there is such a column, follows the text.
+    hit stay as they are. The hits of all shards are gathered before anything is cut. `n_chars`, if there is such a column, follows the text.
     """
-    done = docs
-    for lot in _shards(benchmark, item, item_text, shard_words):
-        shared = docs.sparkSession.sparkContext.broadcast(Automaton(lot, window))
-        done = _cut(done, shared, text, n_chars, window, max_coverage)
-    return done
+    lots = _shards(benchmark, item, item_text, shard_words)
+    first, second = next(lots), next(lots, None)
+    if second is None:
+        shared = docs.sparkSession.sparkContext.broadcast(Automaton(first, window))
 
+        def search(texts: list[bytes], part: pa.RecordBatch) -> Iterator[np.ndarray | None]:
+            return (shared.value.search(normal_words(raw), window)[0] for raw in texts)
+
+        return _cut(docs, docs, search, text, n_chars, max_coverage)
+
+    # all shards judge the text as it came in; equal texts have equal findings
+    hashed = docs.select(F.sha2(docs[text].cast("binary"), 256).alias(DIGEST), docs[text].alias(text))
+    parts = [_scan(hashed, Automaton(lot, window), DIGEST, text, window).select(DIGEST, "spans") for lot in itertools.chain((first, second), lots)]
+    found = functools.reduce(DataFrame.unionByName, parts).filter(F.size("spans") > 0)
+    # as text, whose size is counted before it is broadcast
+    merged = F.to_json(_merged(F.array_sort(F.flatten(F.collect_set("spans"))))).alias(HITS)
+    spans = broadcast_if_small(found.groupBy(DIGEST).agg(merged))
+    rows = docs.withColumn(DIGEST, F.sha2(docs[text].cast("binary"), 256)).join(spans, DIGEST, "left").drop(DIGEST)
+
+    def known(texts: list[bytes], part: pa.RecordBatch) -> Iterator[np.ndarray | None]:
+        for raw, spans in zip(texts, part.column(HITS).to_pylist()):
+            hit = np.zeros(len(normal_words(raw)), bool) if spans else None
+            for span in json.loads(spans or "[]"):
+                hit[span["start"] : span["stop"]] = True
+            yield hit
+
+    return _cut(docs, rows, known, text, n_chars, max_coverage)
+
+
+def _cut(docs: DataFrame, rows: DataFrame, hits, text: str, n_chars: str, max_coverage: float) -> DataFrame:
+    """`rows`, which begin with the columns of `docs`, without the words that `hits` of their texts names."""
+    names = docs.columns
 
-def _cut(docs: DataFrame, shared, text: str, n_chars: str, window: int, max_coverage: float) -> DataFrame:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        found = shared.value
         for batch in batches:
             at, sizes = batch.schema.get_field_index(text), batch.schema.get_field_index(n_chars)
             for part, texts in chunks(batch, text):
                 keep = np.ones(len(texts), bool)
                 new: list[bytes | None] = part.column(at).cast(pa.binary()).to_pylist()
                 changed = False
-                for i, raw in enumerate(texts):
-                    low = raw.lower()  # of the same length
-                    places = [m.span() for m in WORD.finditer(low)]
-                    hit, _ = found.search([low[a:b] for a, b in places], window)
-                    if not hit.any():
+                for i, (raw, hit) in enumerate(zip(texts, hits(texts, part))):
+                    if hit is None or not hit.any():
                         continue
+                    places = [m.span() for m in WORD.finditer(raw.lower())]  # of the same length
                     keep[i] = hit.mean() <= max_coverage
                     edges = np.flatnonzero(np.diff(np.r_[False, hit, False])).tolist()
                     pieces, last = [], 0
@@ -284,9 +315,9 @@ def _cut(docs: DataFrame, shared, text: str, n_chars: str, window: int, max_cove
                         counts = pa.array([None if x is None else len(x) for x in column.to_pylist()], pa.int64())
                         kept = part.column(sizes)
                         part = part.set_column(sizes, part.schema.field(sizes), _replaced(kept, counts, texts, new))
-                yield part.filter(pa.array(keep))
+                yield part.select(names).filter(pa.array(keep))
 
-    return docs.mapInArrow(run, docs.schema)
+    return rows.mapInArrow(run, docs.schema)
 
 
 def _replaced(old: pa.Array, counts: pa.Array, before: list[bytes], after: list[bytes | None]) -> pa.Array:
