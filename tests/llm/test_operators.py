@@ -114,6 +114,20 @@ def test_words_are_encoded_as_in_whole_texts():
     assert set(encoder.old) == {b"a", b"b"} and set(encoder.known) == {b"b", b"c"}
 
 
+def test_special_tokens_are_encoded_as_the_library_loads_them(spark):
+    let_workers_import(spark)
+    tokenizer = Tokenizer.from_file(queries.WORD_TOKENIZER)
+    texts = ["x <|endoftext|> y", "a<|startoftext|>b  <|endoftext|><|endoftext|>\n", "<|ENDOFTEXT|> <|endof text|>"]
+    whole = [[*tokenizer.encode(t, add_special_tokens=False).ids, token_codes.END_ID] for t in texts]
+    assert whole[0] == [343, 49407, 344, token_codes.END_ID]
+    encoder = token_codes.Encoder(queries.WORD_TOKENIZER, encode_special_tokens=False)
+    assert [x.tolist() for x in encoder.encode([t.encode() for t in texts])] == whole
+    path = scratch_path(spark, "codes")
+    token_codes.write(spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string"), path, queries.WORD_TOKENIZER)
+    got = {r.doc_id: (r.n_tokens, r.ids_crc32) for r in token_codes.read_digests(spark, path).collect()}
+    assert got == {i: (len(x), zlib.crc32(np.array(x, "<u4").tobytes())) for i, x in enumerate(whole)}
+
+
 def test_quality(docs, rows, none):
     found = quality.quality(docs).select("doc_id", "text", "_quality_.*").collect()
     assert len(found) == len(rows)

@@ -118,15 +118,16 @@ class Encoder:
 
     A text is cut at ASCII white space, as no normal form and no pattern of such a tokenizer reaches over it, and
     the library encodes each word that is not known yet. Once the known words hold `CACHE_BYTES` they become the old
-    ones, and of the old ones those not met again are forgotten.
+    ones, and of the old ones those not met again are forgotten. Special tokens in a text are one id, unless
+    `encode_special_tokens` spells them out; they hold no white space and take none away.
     """
 
-    def __init__(self, path: str):
+    def __init__(self, path: str, encode_special_tokens: bool = True):
         os.environ["TOKENIZERS_PARALLELISM"] = "false"  # a task has one core
         from tokenizers import Tokenizer
 
         self.tokenizer = Tokenizer.from_file(path)
-        self.tokenizer.encode_special_tokens = True
+        self.tokenizer.encode_special_tokens = encode_special_tokens
         self.known: dict[bytes, bytes] = {}
         self.old: dict[bytes, bytes] = {}
         self.held = 0
@@ -148,7 +149,7 @@ class Encoder:
 
 @functools.cache
 def _encoder(path: str) -> Encoder:
-    return Encoder(path)
+    return Encoder(path, encode_special_tokens=False)  # the tokenizer as its file has it
 
 
 def write(
