@@ -300,6 +300,20 @@ def test_perplexity(spark, sf_dir):
     assert (joined.kept == sent.kept).all() and (joined.perplexity - sent.perplexity).abs().max() < 1e-9
 
 
+def test_perplexity_limit_is_the_quantile(spark):
+    let_workers_import(spark)
+    draw = random.Random(6)
+    words = "the water of a house and its garden in spring light".split()
+    texts = [" ".join(draw.choice(words) for _ in range(60)) for _ in range(600)]
+    docs = spark.createDataFrame([(i, t, "en") for i, t in enumerate(texts)], "doc_id long, text string, lang string")
+    labels = spark.createDataFrame([(i, 1) for i in range(len(texts))], "doc_id long, quality int")
+    found = perplexity.classify(docs, labels, broadcast_rows=0).toPandas()
+    scored = perplexity.score(docs, labels.select(F.col("doc_id").alias("id"))).filter("calibrates").toPandas()
+    limit = np.quantile(scored.perplexity, perplexity.Limits().quantile, method="inverted_cdf")
+    assert abs(found.limit - limit).max() < 1e-9
+    assert (found.kept == (found.perplexity <= found.limit)).all() and not found.kept.all()
+
+
 def test_secrets(spark, docs, rows):
     ledger = scratch_path(spark, "ledger")
     found = secrets.scan(docs, ledger).select("doc_id", secrets.described(F.col("spans")).alias("d")).collect()

@@ -4,7 +4,7 @@ The model of a language is made of strings of `ORDER` bytes. Trusted documents a
 call good; nine tenths of them (by a hash of the id) train, the rest calibrate. Counting, discounts and
 the tables of every order are Spark aggregations over (language, string). Their rows are counted: up
 to `broadcast_rows` of them go to every executor; beyond that, each block of documents asks once for
-every string it holds, and joins give the probabilities, the same ones. A document is kept if its perplexity is at most `margin` times the `quantile` of its language's calibration
+every string it holds, and joins give the probabilities, the same ones. A document is kept if its perplexity is at most the `quantile` of its language's calibration
 documents. A language with fewer than `min_calibration` of them takes the quantile of all languages together; without
 any, and for texts shorter than `min_bytes`, the verdict is to keep. A string the model of the language does not know backs off to
 shorter ones, at last to a uniform byte.
@@ -37,7 +37,6 @@ BROADCAST_ROWS = 1 << 21  # of a key and a number, 16 bytes
 @dataclass(frozen=True)
 class Limits:
     quantile: float = 0.99
-    margin: float = 1.25
     min_calibration: int = 20
     min_bytes: int = 100
 
@@ -312,8 +311,8 @@ def classify(
     scored = _stored(score(docs, trusted, key, text, lang, broadcast_rows), "perplexities")
     judged = scored.filter("calibrates").filter(F.col("n_bytes") >= limits.min_bytes)
     quantile = F.percentile_approx("perplexity", F.lit(limits.quantile), F.lit(10000))
-    overall = judged.agg((quantile * limits.margin).alias("q")).first()["q"]
-    own = judged.groupBy(F.col("lang").alias("of")).agg(F.count(F.lit(1)).alias("n"), (quantile * limits.margin).alias("own"))
+    overall = judged.agg(quantile.alias("q")).first()["q"]
+    own = judged.groupBy(F.col("lang").alias("of")).agg(F.count(F.lit(1)).alias("n"), quantile.alias("own"))
     own = broadcast_if_small(own.filter(F.col("n") >= limits.min_calibration).select("of", "own"))
     rows = scored.join(own, F.col("lang") == F.col("of"), "left")
     limit = F.coalesce(F.col("own"), F.lit(overall).cast("double"))
