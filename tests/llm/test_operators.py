@@ -16,7 +16,7 @@ import xxhash
 from pyspark.sql import functions as F
 from tokenizers import Tokenizer
 
-from windrow.llm import byte_bpe, decontaminate, html_text, perplexity, quality, queries, repeats, secrets, simhash, token_codes, url_filter
+from windrow.llm import byte_bpe, decontaminate, html_text, perplexity, quality, queries, repeats, secrets, similar, simhash, token_codes, url_filter
 from windrow.llm.arrow import let_workers_import
 from windrow.llm.oracles import ORACLES
 from windrow.session import scratch_path
@@ -265,6 +265,41 @@ def test_simhash_links_of_a_crowded_cell(spark):
     assert len(set(zip(got, group))) == len(set(got)) == len(set(group))
 
 
+@pytest.mark.parametrize("tile, slots", [(1024, 1 << 20), (3, 7)])
+def test_pipeline_links_all_similar_texts(spark, tile, slots):
+    let_workers_import(spark)
+    draw = random.Random(8)
+    texts = []
+    for _ in range(25):
+        base = [f"w{draw.randrange(10**6)}" for _ in range(draw.randrange(3, 160))]
+        texts.append(" ".join(base))
+        for _ in range(4):
+            words = list(base)
+            for _ in range(draw.randrange(5)):
+                words[draw.randrange(len(words))] = "changed"
+            texts.append(" ".join(words[: len(words) - draw.randrange(3)]))
+    texts += [texts[0], texts[1].upper(), "", None, " "] + ["one and the same line of text " + t for t in texts[:60]]
+    sets = []
+    for t in texts:
+        words = (t or "").lower().split()
+        sets.append({tuple(words[i : i + 5]) for i in range(max(1, len(words) - 4))} if words else set())
+    group = list(range(len(texts)))
+    missed = 0
+    for i, a in enumerate(sets):
+        for j, b in enumerate(sets[:i]):
+            if a == b or 5 * len(a & b) >= 4 * len(a | b):
+                bits = simhash.fingerprints_of([(texts[i] or "").encode(), (texts[j] or "").encode()])
+                missed += int(bits[0] ^ bits[1]).bit_count() > simhash.MAX_BITS
+                old, new = group[i], group[j]
+                group = [new if g == old else g for g in group]
+    assert missed > 20  # what four differing bits leave unlinked
+    order = draw.sample(range(len(texts)), len(texts))
+    docs = spark.createDataFrame([(o, t) for o, t in zip(order, texts)] + [(None, texts[0])] * 2, "doc_id long, text string").repartition(4)
+    expected = sorted(min(o for o, g in zip(order, group) if g == one) for one in set(group))
+    got = [r.doc_id for r in similar.keep_first(docs, tile=tile, slots=slots).collect()]
+    assert sorted(x for x in got if x is not None) == expected and got.count(None) == 2
+
+
 def test_main_text(spark):
     let_workers_import(spark)
     article = "<html><head><title>t</title></head><body><nav>menu</nav><article><h1>Head</h1><p><b>One&amp;<br>two<p>three  \n four</p><div class='comments'>no</div></article><footer>f</footer></body>"
