@@ -10,6 +10,7 @@ from collections import Counter
 import duckdb
 import numpy as np
 import public_tokenizers
+import pyarrow as pa
 import pytest
 import tiktoken
 import xxhash
@@ -170,6 +171,44 @@ def test_repeats(docs, rows, none):
     assert repeats.remove_repeats(none).count() == 0
 
 
+def test_repeats_of_one_anchor_in_many_contexts(spark):
+    let_workers_import(spark)
+    draw = random.Random(9)
+    letters = "abcdefghijklmnopqrstuvwxyz "
+    # the anchor is the string of least hash, so any text around the phrase is a context of some string of it
+    phrase = "a phrase that very many pages have in common"
+    texts = ["".join(draw.choice(letters) for _ in range(40)) + phrase + "".join(draw.choice(letters) for _ in range(40)) for _ in range(300)]
+    texts += [t[20:100] for t in texts[:40]] + texts[:5] + [None, ""]
+    first: dict[str, int] = {}
+    for i, t in enumerate(texts):
+        for p in range(len(t or "") - 49):
+            first.setdefault(t[p : p + 50], i)
+    expected = {}
+    for i, t in enumerate(texts):
+        gone = np.zeros(len(t or ""), bool)
+        for p in range(len(gone) - 49):
+            if first[t[p : p + 50]] < i:
+                gone[p : p + 50] = True
+        expected[i] = "".join(c for c, g in zip(t or "", gone) if not g)
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string").repartition(7)
+    for limit in (20, 1 << 11):
+        got = {r.doc_id: bytes(r.text).decode() for r in repeats.remove_repeats(docs, anchor_runs=limit).collect()}
+        assert got == expected
+    # no bucket gets more of an anchor than the bound
+    rows = [{"block": 0, "payload": repeats.exchange.to_bytes(_ids_and_texts(texts)), "replies": []}]
+    asked = dict(repeats._question(rows[0], 3, 50))
+    replies = {b: repeats._shared([{"body": body}], 20)[0] for b, body in asked.items()}
+    rows[0]["replies"] = [{"bucket": b, "body": body} for b, body in replies.items()]
+    held = repeats.Contexts(rows[0], 3, 50)
+    assert max(Counter(k for k, _, at in held.known if at >= 0).values(), default=0) <= 20
+    assert max(Counter(k for k, _, at in held.known if at < 0).values()) == 1
+    assert {b for b, _ in held.by_bucket(3)} >= {3, 4, 5}
+
+
+def _ids_and_texts(texts):
+    return pa.RecordBatch.from_arrays([pa.array(range(len(texts)), pa.int64()), pa.array(texts, pa.string())], ["id", "text"])
+
+
 def _normal(text):
     return re.findall(rb"[^\x00-\x2F\x3A-\x60\x7B-\x7F]+", (text or "").encode().lower())
 

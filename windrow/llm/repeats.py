@@ -5,13 +5,15 @@ smaller id. The rows are packed into blocks; then
 
 1. every window of `length` bytes names its anchor, the string of `ANCHOR` bytes in it of least hash
    (the leftmost of equals), so equal windows have equal anchors at equal places;
-2. blocks learn which of their anchors other blocks have too;
+2. blocks learn which of their anchors other blocks have too, and which occur more than `ANCHOR_RUNS` times;
 3. the contexts of those (the bytes of all consecutive windows with one anchor) go to a bucket by
    anchor, each distinct one once from a block with its smallest id. Where an anchor has different contexts, they are
    joined to a text and its suffixes are divided by breadth-first backward extension over its
    Burrows-Wheeler transform: interval by interval, common prefixes are found in the order of their
    length, and expansion stops at `length`. Suffixes no boundary divides by then share `length`
    bytes, and the smallest id of such a class is what its windows learn;
+   The windows of an anchor that occurs more often are contexts of their own and are dealt by a hash of the whole
+   window, so that no bucket gets all of one anchor;
 4. blocks mark the bytes of windows that a smaller id has.
 
 Texts are UTF-8 bytes; a null is empty. Texts shorter than `length` have no windows. A row with a null id
@@ -26,6 +28,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import xxhash
 from pyspark.sql import DataFrame
 
 from windrow.llm import exchange
@@ -38,6 +41,7 @@ TEXT_BYTES = 1 << 15
 BLOCK_BYTES = 4 << 20  # a block's or a bucket's contexts have several times the bytes of its text, in Python objects
 BUCKET_BYTES = 4 << 20
 INTERVALS = 1 << 13  # extended together
+ANCHOR_RUNS = 1 << 11  # contexts of one anchor in a bucket
 LAST_ID = np.iinfo(np.int64).max
 
 _M1, _M2 = np.uint64(0x9E3779B97F4A7C15), np.uint64(0xD6E8FEB86659FD93)
@@ -103,13 +107,33 @@ def anchors(texts: list[bytes], length: int = LENGTH) -> tuple[bytes, np.ndarray
 def _question(row: dict, n: int, length: int) -> Iterator[tuple[int, bytes]]:
     batch = exchange.from_bytes(row["payload"])
     keys = [anchors(part, length)[1] for _, part in _pieces(text_bytes(batch.column("text")))]
-    keys = exchange.distinct(np.concatenate(keys)) if keys else np.empty(0, np.uint64)
-    for bucket, _, low in exchange.keys_by_bucket(keys, n):
-        yield bucket, exchange.packed_keys(low)
+    keys, times = np.unique(np.concatenate(keys) if keys else np.empty(0, np.uint64), return_counts=True)
+    for bucket, places, low in exchange.keys_by_bucket(keys, n):
+        total = np.bincount(np.searchsorted(low, exchange.in_bucket(keys[places], n)), times[places], len(low)).astype("<u4")
+        often = np.flatnonzero(total > 1).astype("<u4")
+        body = exchange.packed_keys(low)
+        yield bucket, struct.pack("<II", len(body), len(often)) + body + often.tobytes() + total[often].tobytes()
+
+
+def _shared(group: list[dict], limit: int) -> list[bytes]:
+    """For every block's keys two rows of bits: does another block have it too, does it occur more than `limit` times?"""
+    bare, lists, counts = [], [], []
+    for row in group:
+        size, k = struct.unpack_from("<II", row["body"])
+        bare.append({"body": row["body"][8 : 8 + size]})
+        lists.append(exchange.unpacked_keys(bare[-1]["body"]))
+        counts.append(np.ones(len(lists[-1]), np.int64))
+        counts[-1][np.frombuffer(row["body"], "<u4", k, 8 + size)] = np.frombuffer(row["body"], "<u4", k, 8 + size + 4 * k)
+    every, inverse = np.unique(np.concatenate(lists), return_inverse=True)
+    many = every[np.bincount(inverse, np.concatenate(counts), len(every)) > limit]
+    return [bits + np.packbits(np.isin(x, many)).tobytes() for bits, x in zip(exchange.shared_keys(bare), lists)]
 
 
 class Contexts:
-    """The contexts of a block whose anchors are shared, each distinct one once, in a fixed order."""
+    """The contexts of a block whose anchors are shared, each distinct one once, in a fixed order.
+
+    Of an anchor that occurs too often each window is a context, whose key is its hash and whose anchor has no place.
+    """
 
     def __init__(self, row: dict, n: int, length: int):
         batch = exchange.from_bytes(row["payload"])
@@ -120,7 +144,7 @@ class Contexts:
         every = exchange.distinct(np.concatenate(keys)) if keys else np.empty(0, np.uint64)
         inverse = np.searchsorted(every, np.concatenate(keys)) if keys else np.empty(0, np.int64)
         owners = np.concatenate([f[6] + f[0] for f in found]) if found else np.empty(0, np.int64)
-        shared = np.zeros(len(every), bool)
+        shared, often = np.zeros(len(every), bool), np.zeros(len(every), bool)
         # anchors of two texts of this block
         low, high = np.full(len(every), LAST_ID), np.full(len(every), -1)
         np.minimum.at(low, inverse, owners)
@@ -129,14 +153,19 @@ class Contexts:
         replies = exchange.reply_of(row)
         for bucket, places, values in exchange.keys_by_bucket(every, n):
             if bucket in replies:
-                bits = np.unpackbits(np.frombuffer(replies[bucket], np.uint8), count=len(values)).astype(bool)
-                shared[places] |= bits[np.searchsorted(values, exchange.in_bucket(every[places], n))]
+                bits = np.frombuffer(replies[bucket], np.uint8).reshape(2, -1)
+                bits = np.unpackbits(bits, axis=1, count=len(values)).astype(bool)
+                at = np.searchsorted(values, exchange.in_bucket(every[places], n))
+                shared[places] |= bits[0, at]
+                often[places] = bits[1, at]
         #: per distinct context: its key and bytes, place of the anchor; per occurrence: context, text, first window
         self.known: dict[tuple[int, bytes, int], int] = {}
         which, text, place = [], [], []
         base = 0
         for start, joined, hashes, first, count, at, owner in found:
-            picked = np.flatnonzero(shared[inverse[base : base + len(hashes)]])
+            number = inverse[base : base + len(hashes)]
+            picked = np.flatnonzero(shared[number] & ~often[number])
+            spread = np.flatnonzero(shared[number] & often[number])
             base += len(hashes)
             begin = np.cumsum([0, *map(len, self.texts[start : start + (int(owner[-1]) + 1 if len(owner) else 0)])])
             known = self.known
@@ -144,6 +173,13 @@ class Contexts:
                 which.append(known.setdefault((k, joined[a : a + c + length - 1], m - a), len(known)))
             text.append(owner[picked] + start)
             place.append(first[picked] - begin[owner[picked]])
+            windows = np.repeat(first[spread] - np.r_[0, np.cumsum(count[spread])[:-1]], count[spread]) + np.arange(int(count[spread].sum())) if len(spread) else spread
+            for a in windows.tolist():
+                window = joined[a : a + length]
+                which.append(known.setdefault((xxhash.xxh3_64_intdigest(window), window, -1), len(known)))
+            holder = np.repeat(owner[spread], count[spread])
+            text.append(holder + start)
+            place.append(windows - begin[holder])
         self.which = np.array(which, np.int64)
         self.text = np.concatenate(text) if text else np.empty(0, np.int64)
         self.place = np.concatenate(place) if place else np.empty(0, np.int64)
@@ -152,10 +188,13 @@ class Contexts:
         np.maximum.at(self.most, self.which, self.ids[self.text])
 
     def by_bucket(self, n: int) -> Iterator[tuple[int, np.ndarray]]:
+        """Contexts by the `n` buckets of anchors, then single windows by as many more."""
         keys = np.array([k for k, _, _ in self.known], np.uint64)
-        order = np.argsort(keys, kind="stable")
-        for bucket, stretch, _ in exchange.keys_by_bucket(keys[order], n):
-            yield bucket, order[stretch]
+        single = np.array([at < 0 for _, _, at in self.known], bool)
+        for base, mine in ((0, np.flatnonzero(~single)), (n, np.flatnonzero(single))):
+            order = mine[np.argsort(keys[mine], kind="stable")]
+            for bucket, stretch, _ in exchange.keys_by_bucket(keys[order], n):
+                yield base + bucket, order[stretch]
 
 
 def _contexts(row: dict, n: int, length: int) -> Iterator[tuple[int, bytes]]:
@@ -330,20 +369,20 @@ def _marked(row: dict, n: int, length: int) -> tuple[list[bytes], list[np.ndarra
     return found.texts, [gone[b : b + s] for b, s in zip(base.tolist(), sizes.tolist())]
 
 
-def _judged(docs: DataFrame, key: str, text: str, length: int) -> tuple[DataFrame, int]:
+def _judged(docs: DataFrame, key: str, text: str, length: int, anchor_runs: int) -> tuple[DataFrame, int]:
     """Blocks with the verdicts on their contexts, and the number of buckets."""
     rows = docs.select(docs[key].cast("long").alias("id"), docs[text].alias("text"))
     blocks = exchange.pack(rows, "repeats", limit=BLOCK_BYTES)
     n = exchange.bucket_count(blocks, BUCKET_BYTES)
-    shared = exchange.answers(exchange.ask(blocks, lambda row: _question(row, n, length)), exchange.shared_keys, "shared")
+    shared = exchange.answers(exchange.ask(blocks, lambda row: _question(row, n, length)), lambda g: _shared(g, anchor_runs), "shared")
     asked = blocks.join(shared, "block", "left")
     verdicts = exchange.answers(exchange.ask(asked, lambda row: _contexts(row, n, length)), lambda g: _verdicts(g, length), "verdicts")
     return asked.join(verdicts.withColumnRenamed("replies", "verdicts"), "block", "left"), n
 
 
-def remove_repeats(docs: DataFrame, key: str = "doc_id", text: str = "text", length: int = LENGTH) -> DataFrame:
+def remove_repeats(docs: DataFrame, key: str = "doc_id", text: str = "text", length: int = LENGTH, anchor_runs: int = ANCHOR_RUNS) -> DataFrame:
     """`key`, `text` (what is left, as bytes) and `removed` (spans of bytes) of every document."""
-    judged, n = _judged(docs, key, text, length)
+    judged, n = _judged(docs, key, text, length, anchor_runs)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
