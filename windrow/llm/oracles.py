@@ -2,8 +2,8 @@
 
 from __future__ import annotations
 
-from windrow.llm import decontaminate, quality, secrets
-from windrow.llm.queries import URL_RULES
+from windrow.llm import chat, decontaminate, quality, secrets
+from windrow.llm.queries import MARKED_TURNS, URL_RULES
 
 UPPER, LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
 
@@ -136,9 +136,33 @@ FROM d LEFT JOIN sums ON sums.doc_id = d.doc_id
 """
 
 
+def _chat() -> str:
+    turns = ", ".join(f"({conv}, {turn}, '{role}', '{text}')" for conv, turn, role, text in MARKED_TURNS)
+    escaped = "regexp_replace(replace({}, '\\', '\\\\'), '<(/?turn>|part/>)', '\\\\l\\1', 'g')"
+    marks = len(chat.OPEN) + 1 + len(chat.CLOSE)
+    return f"""
+WITH rows AS (
+  SELECT conv_id, turn, coalesce(role, '') AS role, coalesce(text, '') AS text FROM conversations
+  UNION ALL SELECT * FROM (VALUES {turns}) t(conv_id, turn, role, text)),
+placed AS (
+  SELECT *, role IS DISTINCT FROM lag(role) OVER w AS opens FROM rows
+  WINDOW w AS (PARTITION BY conv_id ORDER BY turn NULLS FIRST, role, text)),
+sized AS (
+  SELECT *, length({escaped.format("text")}) + CASE WHEN opens THEN {marks} + length(replace({escaped.format("role")}, chr(10), '\\n')) ELSE {len(chat.PART)} END AS chars
+  FROM placed)
+SELECT conv_id, count(*) AS n_turns,
+       sha256(string_agg(role || chr(10) || text || chr(10), '' ORDER BY turn NULLS FIRST, role, text)) AS turns_sha256,
+       coalesce(sum(length(text)) FILTER (role = 'assistant'), 0)::BIGINT AS loss_chars,
+       sha256(coalesce(string_agg(text, '' ORDER BY turn NULLS FIRST, role, text) FILTER (role = 'assistant'), '')) AS loss_sha256,
+       sum(chars)::BIGINT AS formatted_chars
+FROM sized GROUP BY conv_id
+"""
+
+
 ORACLES = {
     "op2_quality_rules": _quality(),
     "op4_decontaminate": _decontaminate(),
     "op7_url_filter": _urls(),
     "op9_secrets": _secrets(),
+    "op11_chat_format": _chat(),
 }

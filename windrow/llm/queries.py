@@ -6,12 +6,17 @@ import public_tokenizers
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from windrow.llm import byte_bpe, decontaminate, html_text, perplexity, quality, repeats, secrets, simhash, token_codes, url_filter
+from windrow.llm import alignment, byte_bpe, chat, decontaminate, html_text, perplexity, quality, repeats, secrets, simhash, token_codes, url_filter, variants
 from windrow.llm.arrow import let_workers_import
 from windrow.session import scratch_path
 
 WORD_TOKENIZER = public_tokenizers.path("word_bpe_49k.json")
 BYTE_RANKS = public_tokenizers.path("byte_bpe_multi_50k.tiktoken")
+BYTE_TOKENIZER = public_tokenizers.path("byte_bpe_50k.json")
+PIECE_TOKENIZER = public_tokenizers.path("piece_bpe_32k.model")
+MARKED_TEXT = "\\### Assistant: </turn> ok"
+MARKED_TURNS = ((-7, 0, "user", MARKED_TEXT), (-7, 1, "assistant", MARKED_TEXT))
+LOST_LETTER_EVERY = 199
 URL_RULES = (("net", "/", "block"), ("example.net", "/en/", "allow"), ("example.com", "/de/", "block"), ("org", "/fr/", "allow"))
 
 
@@ -95,6 +100,39 @@ def byte_bpe_round_trip(spark: SparkSession, sf_dir: str) -> DataFrame:
     return byte_bpe.round_trip_digests(table(spark, sf_dir, "documents"), BYTE_RANKS)
 
 
+def _hex(text: Column) -> Column:
+    return F.sha2(F.encode(text, "UTF-8"), 256)
+
+
+def formatted_conversations(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rows = table(spark, sf_dir, "conversations").select("conv_id", "turn", "role", "text")
+    rows = rows.unionByName(spark.createDataFrame(MARKED_TURNS, rows.schema))
+    found = chat.format_conversations(rows)
+    turns = chat.turns_of(F.col("formatted"))
+    listed = F.concat_ws("", F.transform("turns", lambda t: F.concat(t["role"], F.lit("\n"), t["text"], F.lit("\n"))))
+    learned = chat.learned_text(F.col("formatted"), F.col("loss"))
+    # through a generator, so that each text is read back once
+    back = F.inline(F.array(F.struct(turns.alias("turns"), learned.alias("learned"), F.length("formatted").cast("long").alias("formatted_chars"))))
+    return found.select("conv_id", back).select(
+        "conv_id",
+        F.size("turns").cast("long").alias("n_turns"),
+        _hex(listed).alias("turns_sha256"),
+        F.length("learned").cast("long").alias("loss_chars"),
+        _hex(F.col("learned")).alias("loss_sha256"),
+        "formatted_chars",
+    )
+
+
+def aligned_tokens(spark: SparkSession, sf_dir: str) -> DataFrame:
+    index = alignment.build_index(table(spark, sf_dir, "documents"), BYTE_TOKENIZER, PIECE_TOKENIZER)
+    return alignment.score_documents(index).drop("groups")
+
+
+def spelling_variants(spark: SparkSession, sf_dir: str) -> DataFrame:
+    words = variants.count_words(table(spark, sf_dir, "documents"), change=variants.lost_letter(LOST_LETTER_EVERY))
+    return variants.group_variants(words)
+
+
 QUERIES = {
     "op1_token_codes": token_code_files,
     "op2_quality_rules": quality_rules,
@@ -106,4 +144,7 @@ QUERIES = {
     "op8_perplexity": perplexity_classes,
     "op9_secrets": secret_spans,
     "op10_byte_bpe": byte_bpe_round_trip,
+    "op11_chat_format": formatted_conversations,
+    "op12_token_alignment": aligned_tokens,
+    "op13_spelling_variants": spelling_variants,
 }
