@@ -64,17 +64,20 @@ def fingerprints_of(texts: list[bytes], size: int = SHINGLE_WORDS) -> np.ndarray
     return out
 
 
-def fingerprints(docs: DataFrame, key: str = "doc_id", text: str = "text", size: int = SHINGLE_WORDS) -> DataFrame:
-    """`key` and `fp`, the fingerprint as a signed 64-bit number."""
-    schema = f"`{key}` {docs.schema[key].dataType.simpleString()}, fp long"
+def fingerprints(
+    docs: DataFrame, key: str = "doc_id", text: str = "text", size: int = SHINGLE_WORDS, also: tuple[str, ...] = ()
+) -> DataFrame:
+    """`key`, the columns `also`, and `fp`, the fingerprint as a signed 64-bit number."""
+    names = [key, *also]
+    schema = ", ".join(f"`{n}` {docs.schema[n].dataType.simpleString()}" for n in names) + ", fp long"
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for part, texts in chunks(batch, text, 1 << 19):
                 found = pa.array(fingerprints_of(texts, size).view(np.int64))
-                yield pa.RecordBatch.from_arrays([part.column(key), found], [key, "fp"])
+                yield pa.RecordBatch.from_arrays([*(part.column(n) for n in names), found], [*names, "fp"])
 
-    return docs.select(key, text).mapInArrow(run, schema)
+    return docs.select(*names, text).mapInArrow(run, schema)
 
 
 def _popcount(x: np.ndarray) -> np.ndarray:
@@ -265,7 +268,12 @@ def near_duplicates(
     spark = docs.sparkSession
     path = scratch_path(spark, "fingerprints")
     fingerprints(docs, key, text, size).write.parquet(path)
-    rows = spark.read.parquet(path)
+    return _grouped(spark.read.parquet(path), key, max_bits)
+
+
+def _grouped(rows: DataFrame, key: str, max_bits: int) -> DataFrame:
+    """Add `component_fp` and `component_id` to stored rows with a fingerprint."""
+    spark = rows.sparkSession
     nodes = rows.groupBy("fp").agg(F.min(key).alias("first"))
     labels = components(links(nodes, max_bits))
     nodes = nodes.join(labels, F.col("fp") == F.col("node"), "left")
@@ -274,16 +282,26 @@ def near_duplicates(
     path = scratch_path(spark, "components")
     nodes.join(least, "component_fp").select(F.col("fp").alias("node"), "component_fp", "component_id").write.parquet(path)
     known = spark.read.parquet(path)
-    return rows.join(known, F.col("fp") == F.col("node")).select(key, "fp", "component_fp", "component_id")
+    return rows.join(known, F.col("fp") == F.col("node")).drop("node")
 
 
 def keep_first(docs: DataFrame, key: str = "doc_id", text: str = "text", size: int = SHINGLE_WORDS, max_bits: int = MAX_BITS) -> DataFrame:
     """One document of each component: that with the smallest id.
 
-    Rows that share this id are one document, of which one row stays; rows without an id have no
-    place in the order and all stay.
+    Where several texts of a component share this id, that of the smallest fingerprint stays (then that of the smallest
+    SHA-256). An id that stands for texts of different components keeps one in each. Equal rows of a document that stays are
+    one. Rows without an id have no place in the order and all stay.
     """
-    first = near_duplicates(docs.filter(F.col(key).isNotNull()), key, text, size, max_bits)
-    first = first.filter(F.col(key) == F.col("component_id")).select(F.col(key).alias("_simhash_id")).distinct()
-    kept = docs.join(first, F.col(key) == F.col("_simhash_id"), "left_semi").dropDuplicates([key])
+    spark = docs.sparkSession
+    digest = F.sha2(F.coalesce(F.col(text), F.lit("")).cast("binary"), 256)
+    path = scratch_path(spark, "fingerprints")
+    named = docs.filter(F.col(key).isNotNull())
+    fingerprints(named.select(key, text, digest.alias("_simhash_text")), key, text, size, also=("_simhash_text",)).write.parquet(path)
+    rows = _grouped(spark.read.parquet(path), key, max_bits).filter(F.col(key) == F.col("component_id"))
+    first = rows.groupBy("component_fp", "component_id").agg(F.min(F.struct("fp", "_simhash_text"))["_simhash_text"].alias("_simhash_first"))
+    first = first.select(F.col("component_id").alias("_simhash_id"), "_simhash_first")
+    # equal rows are combined before they are moved, and meet the chosen ones where they come to lie
+    single = named.withColumn("_simhash_text", digest).dropDuplicates([key, "_simhash_text"])
+    chosen = (F.col(key) == F.col("_simhash_id")) & (F.col("_simhash_text") == F.col("_simhash_first"))
+    kept = single.join(first, chosen, "left_semi").drop("_simhash_text")
     return kept.unionByName(docs.filter(F.col(key).isNull()))
