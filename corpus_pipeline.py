@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from windrow.llm import byte_bpe, decontaminate, quality, secrets, similar
+from windrow.llm import byte_bpe, decontaminate, quality, secrets, simhash
 from windrow.llm.arrow import let_workers_import
 from windrow.llm.queries import BYTE_RANKS, table
 from windrow.session import scratch_path
@@ -16,9 +16,9 @@ def quality_rules(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFram
 
 
 def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One document of each component of documents with a 5-word Jaccard similarity of 0.8 or more: that with the smallest id."""
+    """One document of each group that links of SimHashes (4-word shingles, up to 4 differing bits) connect: that with the smallest id."""
     let_workers_import(spark)
-    return similar.keep_first(docs)
+    return simhash.keep_first(docs)
 
 
 def decontamination(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -45,7 +45,7 @@ STAGES = [
     ("byte_tokens", byte_tokens),
 ]
 
-#: SQL has no XXH64 and no byte-pair merging; tests compare every stage with plain Python instead.
+#: SQL has no XXH64 and no byte-pair merging; a test compares the rows of every stage with plain Python instead.
 ORACLE_SQL = None
 
 
