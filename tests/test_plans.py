@@ -72,8 +72,11 @@ def test_rows_are_cut_to_n_before_the_exchange(plans):
 
 
 @pytest.mark.parametrize("name", ["state_events_normalised", "state_events_rejects", "state_events_key_window_counts"])
-def test_a_message_is_parsed_once(plans, name):
-    assert plans[name].count("from_json(") == 1
+def test_a_message_is_parsed_hashed_and_timed_once(plans, name):
+    plan = plans[name].split("\n\n")[0]
+    assert plan.count("from_json(") == 1
+    assert plan.count("xxhash64(") == 2  # the message's, and what the parser brought back
+    assert plan.count("RLIKE") == 1 and plan.count("try_cast") <= 1
 
 
 def test_buckets_are_split_and_merged_by_size(spark, sf_dir, folder):

@@ -55,14 +55,22 @@ def strict_long(text: Column) -> Column:
 FIRST_MICROS, LAST_MICROS = -62_135_596_800_000_000, 253_402_300_799_999_999
 
 
-def _micros_time(micros: Column) -> Column:
-    """Epoch microseconds to TIMESTAMP; null outside the years 1 to 9999, where clocks and windows overflow."""
+def micros_time(micros: Column) -> Column:
+    """Epoch microseconds to TIMESTAMP; null outside the years 1 to 9999, where clocks and windows overflow.
+
+    Names its argument three times: give it a column, not a long expression.
+    """
     return F.when(micros.between(FIRST_MICROS, LAST_MICROS), F.timestamp_micros(micros))
 
 
+def millis_micros(millis: Column) -> Column:
+    """Epoch milliseconds to microseconds; null beyond 64 bits."""
+    return F.try_multiply(millis, F.lit(1000))
+
+
 def millis_time(millis: Column) -> Column:
     """Epoch milliseconds to TIMESTAMP; null outside the years 1 to 9999."""
-    return _micros_time(F.try_multiply(millis, F.lit(1000)))
+    return micros_time(millis_micros(millis))
 
 
 def event_time(column: Column, unit: str) -> Column:
@@ -73,7 +81,7 @@ def event_time(column: Column, unit: str) -> Column:
     if unit == "ms":
         return millis_time(column)
     if unit == "us":
-        return _micros_time(column)
+        return micros_time(column)
     if unit == "ts":
         return column.cast("timestamp")
     raise ValueError(f"unit must be s, ms, us or ts, not {unit!r}")

@@ -5,11 +5,11 @@ from __future__ import annotations
 from collections.abc import Mapping
 from dataclasses import dataclass
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from windrow.constants import PASSING_RECORD_KEYS, STATE_EVENT_KEYS
-from windrow.functions.clock import millis_time, strict_long
+from windrow.functions.clock import micros_time, millis_micros, strict_long
 from windrow.functions.messages import field_or_default, is_one_object, parse_object, quote_nulls
 from windrow.operators.event_time import EVENT_TIME
 
@@ -46,22 +46,37 @@ def normalise(df: DataFrame, spec: RecordSpec, value: str = "value") -> DataFram
     """
     message = F.col(value)
     text = quote_nulls(message) if spec.nulls_to_text else message
-    # through a generator: a filter on the fields would otherwise be moved below the projection and
-    # parse the message again for each mention of a field
-    parsed = df.withColumn("_parsed", F.explode(F.array(parse_object(text, spec.keys))))
-    whole = is_one_object(F.col("_parsed"), text)
-    fields = {
-        name: F.when(whole, field_or_default(F.col("_parsed"), key, default))
-        for name, (key, default) in spec.keys.items()
-    }
-    recorded = parsed.select(*df.columns, whole.alias("_whole"), *(c.alias(n) for n, c in fields.items()))
-    timed = recorded.withColumn(EVENT_TIME, millis_time(strict_long(F.col(spec.time_field))))
+    names = spec.fields
+
+    def parsed(t: Column) -> Column:
+        return F.struct(t.alias("text"), parse_object(t, spec.keys).alias("parsed"))
+
+    def judged(s: Column) -> Column:
+        return F.struct(s["parsed"].alias("parsed"), is_one_object(s["parsed"], s["text"]).alias("whole"))
+
+    def recorded(s: Column) -> Column:
+        fields = (F.when(s["whole"], field_or_default(s["parsed"], key, default)).alias(n) for n, (key, default) in spec.keys.items())
+        return F.struct(s["whole"].alias("_whole"), *fields)
+
+    def numbered(s: Column) -> Column:
+        micros = millis_micros(strict_long(s[spec.time_field]))
+        return F.struct(s["_whole"].alias("_whole"), *(s[n].alias(n) for n in names), micros.alias("micros"))
+
+    def timed(s: Column) -> Column:
+        return F.struct(s["_whole"].alias("_whole"), *(s[n].alias(n) for n in names), micros_time(s["micros"]).alias(EVENT_TIME))
+
+    # one row at a time through an array of one: each step names what the step before worked out. The whole goes through a
+    # generator: a filter on the fields would otherwise be moved below the projection and work everything out again
+    steps = F.array(text)
+    for step in (parsed, judged, recorded, numbered, timed):
+        steps = F.transform(steps, step)
+    records = df.select(*df.columns, F.inline(steps))
     reason = (
         F.when(message.isNull() | (F.length(message) == 0), EMPTY_MESSAGE)
         .when(~F.col("_whole"), MALFORMED_JSON)
         .when(F.col(EVENT_TIME).isNull(), BAD_EVENT_TIME)
     )
-    return timed.withColumn(REJECT_REASON, reason).drop("_whole")
+    return records.withColumn(REJECT_REASON, reason).drop("_whole")
 
 
 def normalise_state_events(df: DataFrame, value: str = "value") -> DataFrame:
