@@ -180,6 +180,15 @@ behavior as (
   from events
 )"""
 
+_POSITION = "(event_id + (event_id * 7919) % 17) * 17 + 16 - (event_id * 7919) % 17"
+
+
+def _stage(position: str, stages: int, table: str) -> str:
+    """The stage of a row: stretches of equal span of the positions of a table."""
+    low, high = (f"(select {f}({position}) from {table})" for f in ("min", "max"))
+    return f"({position} - {low}) // ((({high} - {low} + 1) + {stages} - 1) // {stages})"
+
+
 # --- by query ----------------------------------------------------------------------------------------
 
 ORACLES: dict[str, str] = {
@@ -256,4 +265,24 @@ where window_end <= (select max(ts) from lines)""",
     "fan_out_stream": f"""with {_MESSAGES},
 sinks as (select unnest(['parquet', 'text']) as sink)
 select sink, {_bucket('%Y-%m-%d', 'ts')}, value, count(*) as cnt from messages, sinks group by all""",
+    "window_release_late_stream": f"""with {_STATE},
+windowed as (select *, {_window(3600)}, {_stage(_POSITION, 4, 'events')} as stage from good),
+judged_late as (
+  select w.*, w.window_end <= (select max(event_time) from windowed e where e.stage < w.stage) as is_late from windowed w
+)
+select event_id, {_STATE_FIELDS}, window_start, window_end, {_bucket('%Y-%m-%d')}
+from judged_late where not coalesce(is_late, false) and window_end <= (select max(event_time) from good)""",
+    "running_count_restart_stream": _MESSAGE_COUNT,
+    "running_count_folded_stream": _MESSAGE_COUNT,
+    "hot_items_timer_stream": f"{_HOT} {_TOP} and {_CLOSED_VIEWS}",
+    "hot_items_all_behavior_stream": f"""with {_BEHAVIOR},
+seconds as (
+  select make_timestamp("timestamp" * 1000000) as ts, "itemId" as item from behavior where behavior = 'pv'
+), {_COUNTS.format(views='seconds')} {_TOP} and window_end <= (select make_timestamp(max("timestamp") * 1000000) from behavior)""",
+    "records_and_rejects_stream": f"""with {_STATE},
+both_kinds as (
+  select id, time, {_bucket('%Y-%m-%d')}, null::varchar as reject_reason from good
+  union all select null, null, null, reject_reason from judged where reject_reason is not null
+)
+select id, time, bucket, reject_reason, count(*) as cnt from both_kinds group by all""",
 }

@@ -6,6 +6,8 @@ from collections.abc import Callable
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.streaming import StreamingQuery
+from pyspark.sql.types import StructType
 
 from catalogue import inputs
 from windrow import constants as c
@@ -28,6 +30,7 @@ from windrow.schemas import MESSAGE, PASSING_RECORD, STATE_EVENT
 from windrow.session import scratch_path
 from windrow.sinks.buckets import read_bucketed, with_bucket, write_bucketed
 from windrow.sinks.compaction import compact_buckets
+from windrow.sinks.totals import fold_totals, read_totals, remove_folded
 from windrow.sources.behavior import read_behavior_csv
 from windrow.streaming.queries import (
     batch_folder_sink,
@@ -35,10 +38,12 @@ from windrow.streaming.queries import (
     latest_totals,
     start_bucketed,
 )
+from windrow.streaming.stages import run_in_stages
 
 Query = Callable[[SparkSession, str], DataFrame]
 
 AUDIT_WINDOW = "60 minutes"
+STAGES = 4
 
 
 def plain(name: str) -> Column:
@@ -329,6 +334,91 @@ def fan_out_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
     return both.groupBy("sink", "bucket", "value").agg(F.count(F.lit(1)).alias("cnt"))
 
 
+# --- streams that stop and go on: stretches of a whole table, a run of the query for each, one checkpoint -------------
+
+
+def window_release_late_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Arrivals out of order: what a stage brings for windows that earlier stages have closed is lost."""
+    path = scratch_path(spark, "release-late")
+
+    def start(raw: DataFrame) -> StreamingQuery:
+        released = topic_records.released_state_events(raw, AUDIT_WINDOW, keep=["event_id"])
+        return start_bucketed(with_bucket(released, pattern=c.DAY_BUCKET), f"{path}/out", checkpoint=f"{path}/state")
+
+    run_in_stages(_messages(spark, sf_dir), "position", STAGES, f"{path}/feed", start)
+    fields = ", ".join(f"{name} string" for name in STATE_EVENTS.fields)
+    schema = f"event_id bigint, {fields}, window_start timestamp, window_end timestamp"
+    stored = read_bucketed(spark, f"{path}/out", StructType.fromDDL(schema))
+    return stored.select("event_id", *STATE_EVENTS.fields, plain("window_start"), plain("window_end"), "bucket")
+
+
+def running_count_restart_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
+    path = scratch_path(spark, "running-count-restart")
+
+    def start(documents: DataFrame) -> StreamingQuery:
+        lines = inputs.document_lines(documents)
+        return word_counts.start_message_counts(lines, f"{path}/out", checkpoint=f"{path}/state", every=None)
+
+    run_in_stages(inputs.table(spark, sf_dir, "documents"), "doc_id", STAGES, f"{path}/feed", start)
+    return latest_totals(spark, f"{path}/out", ["word"])
+
+
+def running_count_folded_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The totals after all stages, of which the changes of the first stages are folded into a snapshot and removed."""
+    path = scratch_path(spark, "running-count-folded")
+    store = f"{path}/totals"
+    runs = []
+
+    def start(documents: DataFrame) -> StreamingQuery:
+        if len(runs) == STAGES // 2:
+            fold_totals(spark, store, ["word"])
+            remove_folded(spark, store)
+        runs.append(1)
+        lines = inputs.document_lines(documents)
+        return word_counts.start_message_totals(lines, store, checkpoint=f"{path}/state", every=None)
+
+    run_in_stages(inputs.table(spark, sf_dir, "documents"), "doc_id", STAGES, f"{path}/feed", start)
+    return read_totals(spark, store, ["word"])
+
+
+def hot_items_timer_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
+    path = scratch_path(spark, "hot-items-timer")
+
+    def start(events: DataFrame) -> StreamingQuery:
+        return hot.start_hot_items_by_timer(inputs.views(events), f"{path}/out", checkpoint=f"{path}/state")
+
+    run_in_stages(_events(spark, sf_dir), "event_id", 2, f"{path}/feed", start)
+    top = spark.read.parquet(f"{path}/out")
+    return top.select(plain("window_end"), "itemId", "view_count", "rank")
+
+
+def hot_items_all_behavior_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The behaviour log itself as a stream: every record moves the watermark, page views are counted."""
+    path = scratch_path(spark, "hot-items-behavior")
+    views = hot.page_views(inputs.behavior(_events(spark, sf_dir, streaming=True)))
+    hot.start_hot_items(views, [batch_folder_sink(f"{path}/out")], checkpoint=f"{path}/state").awaitTermination()
+    top = spark.read.parquet(f"{path}/out")
+    return top.select(plain("window_end"), "itemId", "view_count", "rank")
+
+
+def records_and_rejects_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """One query for records and rejects, restarted between stages: how often is each in what is visible?"""
+    path = scratch_path(spark, "records-rejects")
+
+    def start(raw: DataFrame) -> StreamingQuery:
+        return topic_records.start_records_and_rejects(
+            raw, STATE_EVENTS, f"{path}/out", checkpoint=f"{path}/state", pattern=c.DAY_BUCKET
+        )
+
+    run_in_stages(_messages(spark, sf_dir).select("value", "position"), "position", STAGES, f"{path}/feed", start)
+    records = topic_records.read_records(spark, STATE_EVENTS, f"{path}/out")
+    refused = topic_records.read_rejects(spark, f"{path}/out", "value string, position bigint")
+    both = records.select("id", "time", "bucket", F.lit(None).cast("string").alias("reject_reason")).unionByName(
+        refused.select("reject_reason"), allowMissingColumns=True
+    )
+    return both.groupBy("id", "time", "bucket", "reject_reason").agg(F.count(F.lit(1)).alias("cnt"))
+
+
 QUERIES: dict[str, Query] = {
     "pv_filter": pv_filter,
     "behavior_csv_roundtrip": behavior_csv_roundtrip,
@@ -368,4 +458,10 @@ QUERIES: dict[str, Query] = {
     "running_count_stream": running_count_stream,
     "windowed_word_count_stream": windowed_word_count_stream,
     "fan_out_stream": fan_out_stream,
+    "window_release_late_stream": window_release_late_stream,
+    "running_count_restart_stream": running_count_restart_stream,
+    "running_count_folded_stream": running_count_folded_stream,
+    "hot_items_timer_stream": hot_items_timer_stream,
+    "hot_items_all_behavior_stream": hot_items_all_behavior_stream,
+    "records_and_rejects_stream": records_and_rejects_stream,
 }

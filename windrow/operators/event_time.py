@@ -29,5 +29,13 @@ def with_event_time(
 
 
 def only(df: DataFrame, predicate: Column) -> DataFrame:
-    """Keep rows for which the predicate is true; null counts as not true."""
-    return df.filter(predicate)
+    """Keep rows for which the predicate is true; null counts as not true.
+
+    On a stream every record moves the watermark, also those that are not kept. Spark would move a plain filter below the
+    watermark, so that dropped records could not move it; a column that a generator makes is known only above. On a table
+    nothing is gained by that, and the filter may go down to the scan.
+    """
+    if not df.isStreaming:
+        return df.filter(predicate)
+    judged = df.select("*", F.explode(F.array(F.coalesce(predicate, F.lit(False)))).alias("_kept"))
+    return judged.filter("_kept").drop("_kept")

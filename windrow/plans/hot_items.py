@@ -12,7 +12,9 @@ from windrow import constants as c
 from windrow.operators.counts import sliding_count
 from windrow.operators.event_time import only, with_event_time
 from windrow.operators.topn import render_report, top_n_per_window
-from windrow.streaming.queries import BatchSink, batch_folder_sink, start_top_n
+from windrow.session import state_in_rocksdb
+from windrow.streaming.queries import BatchSink, batch_folder_sink, start_files, start_top_n
+from windrow.streaming.timers import top_n_by_timer
 
 
 def page_views(behavior: DataFrame, predicate: Column | None = None, *, delay: str = "0 seconds") -> DataFrame:
@@ -60,6 +62,15 @@ def report_sink(path: str | None = None, *, zone: str = "UTC") -> BatchSink:
     return deliver
 
 
+def start_hot_items_by_timer(
+    views: DataFrame, path: str, *, checkpoint: str, n: int = c.HOT_ITEMS_TOP, every: str | None = None, **windows
+) -> StreamingQuery:
+    """The same ranking from list state and a timer; Spark's own file sink stores the ranked rows, each once."""
+    top = top_n_by_timer(item_window_counts(views, **windows), n)
+    with state_in_rocksdb(views.sparkSession):
+        return start_files(top, path, checkpoint=checkpoint, every=every)
+
+
 def start_hot_items(
     views: DataFrame,
     sinks: Sequence[BatchSink],

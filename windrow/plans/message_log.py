@@ -23,7 +23,15 @@ def store_messages(raw: DataFrame, path: str, *, mode: str = "append", gather: b
 
 
 def start_message_log(
-    raw: DataFrame, path: str, *, checkpoint: str, every: str | None = c.MESSAGE_LOG_ROLL_INTERVAL, **bucket
+    raw: DataFrame,
+    path: str,
+    *,
+    checkpoint: str,
+    every: str | None = c.MESSAGE_LOG_ROLL_INTERVAL,
+    max_records_per_file: int = 0,
+    **bucket,
 ) -> StreamingQuery:
     """Append every message to the folder of its minute, a new file each roll interval."""
-    return start_bucketed(bucketed_lines(raw, **bucket), path, "text", checkpoint=checkpoint, every=every)
+    return start_bucketed(
+        bucketed_lines(raw, **bucket), path, "text", checkpoint=checkpoint, every=every, max_records_per_file=max_records_per_file
+    )

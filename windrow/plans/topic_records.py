@@ -2,7 +2,9 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from collections.abc import Sequence
+
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql.streaming import StreamingQuery
 
 from windrow import constants as c
@@ -18,18 +20,30 @@ from windrow.operators.normalise import (
 )
 from windrow.operators.release import window_release
 from windrow.sinks.buckets import with_bucket, write_bucketed
-from windrow.streaming.queries import start_bucketed
+from windrow.sinks.commits import read_committed
+from windrow.streaming.queries import BatchSink, batch_folder_sink, fan_out, print_sink, start_bucketed
 
 
 def released_records(
-    raw: DataFrame, spec: RecordSpec, size: str, *, delay: str = "0 seconds", position: str | None = None
+    raw: DataFrame,
+    spec: RecordSpec,
+    size: str,
+    *,
+    delay: str = "0 seconds",
+    position: str | None = None,
+    keep: Sequence[str] | None = None,
 ) -> DataFrame:
     """The usable records, each when its window closes; on a stream the late ones are dropped.
 
+    `keep` names the columns of `raw` that go along with a record (None: all). A stream holds them in its state until
+    the window closes, and records that differ in one of them are rows of their own there: name those that are read.
+
     A table has no arrival order, so all its records are kept, unless `position` names the column
     that numbers the arrivals: then the late ones are dropped as a per-record watermark would.
     """
     records = good_records(normalise(raw, spec))
+    if keep is not None:
+        records = records.select(*dict.fromkeys([*keep, *([position] if position else []), *spec.fields, EVENT_TIME]))
     if position:
         return on_time_records(records, position, size)
     return window_release(records.withWatermark(EVENT_TIME, delay), size)
@@ -62,7 +76,7 @@ def store_records(
     gather: bool = True,
 ) -> None:
     """Bounded input: normalise and write, record fields only, one folder per bucket."""
-    released = released_records(raw, spec, size, position=position)
+    released = released_records(raw, spec, size, position=position, keep=())
     write_bucketed(_bucketed(released, spec, pattern, zone, clock), path, fmt, mode=mode, gather=gather)
 
 
@@ -79,11 +93,14 @@ def start_records(
     delay: str = "0 seconds",
     zone: str = c.BUCKET_ZONE,
     clock: str | None = EVENT_TIME,
+    max_records_per_file: int = 0,
 ) -> StreamingQuery:
     """Stream: the same, as windows close."""
-    released = released_records(raw, spec, size, delay=delay)
+    released = released_records(raw, spec, size, delay=delay, keep=())
     bucketed = _bucketed(released, spec, pattern, zone, clock)
-    return start_bucketed(bucketed, path, fmt, checkpoint=checkpoint, every=every)
+    return start_bucketed(
+        bucketed, path, fmt, checkpoint=checkpoint, every=every, max_records_per_file=max_records_per_file
+    )
 
 
 def start_state_events_to_parquet(
@@ -117,3 +134,53 @@ def start_rejects(
     refused = rejects(normalise(raw, spec), spec)
     bucketed = with_bucket(refused, time=None, pattern=c.DAY_BUCKET)
     return start_bucketed(bucketed, path, "json", checkpoint=checkpoint, every=every)
+
+
+def record_sinks(spec: RecordSpec, path: str, fmt: str = "parquet", *, pattern: str, zone: str = c.BUCKET_ZONE, show: bool = False) -> list[BatchSink]:
+    """Sinks for a micro-batch of normalised messages: records below `path/records` by bucket, what makes no record below
+    `path/rejects`, and with `show` the records on the screen as well."""
+    records, refused, shown = batch_folder_sink(f"{path}/records", fmt), batch_folder_sink(f"{path}/rejects"), print_sink()
+
+    def store(batch: DataFrame, batch_id: int) -> None:
+        records(_bucketed(good_records(batch), spec, pattern, zone, EVENT_TIME), batch_id)
+
+    def refuse(batch: DataFrame, batch_id: int) -> None:
+        refused(rejects(batch, spec), batch_id)
+
+    def display(batch: DataFrame, batch_id: int) -> None:
+        shown(good_records(batch).select(*spec.fields), batch_id)
+
+    return [store, refuse, *([display] if show else [])]
+
+
+def start_records_and_rejects(
+    raw: DataFrame,
+    spec: RecordSpec,
+    path: str,
+    fmt: str = "parquet",
+    *,
+    checkpoint: str,
+    pattern: str,
+    zone: str = c.BUCKET_ZONE,
+    every: str | None = None,
+    show: bool = False,
+    more: Sequence[BatchSink] = (),
+) -> StreamingQuery:
+    """One query that parses every message once and sends it to records, rejects and the screen.
+
+    Records come out as they arrive, without waiting for a window. A micro-batch is visible in `read_records` and
+    `read_rejects` when all sinks have it (`path/commits`).
+    """
+    sinks = [*record_sinks(spec, path, fmt, pattern=pattern, zone=zone, show=show), *more]
+    return fan_out(normalise(raw, spec), sinks, checkpoint=checkpoint, every=every, commits=f"{path}/commits")
+
+
+def read_records(spark: SparkSession, spec: RecordSpec, path: str, fmt: str = "parquet") -> DataFrame:
+    """The visible records: the fields, `batch_id` and `bucket`."""
+    schema = ", ".join([*(f"`{name}` string" for name in spec.fields), "batch_id bigint", "bucket string"])
+    return read_committed(spark, f"{path}/records", f"{path}/commits", schema, "json" if fmt == "text" else fmt)
+
+
+def read_rejects(spark: SparkSession, path: str, schema: str = "value string") -> DataFrame:
+    """The visible rejects: the columns of the raw messages (`schema`), `reject_reason` and `batch_id`."""
+    return read_committed(spark, f"{path}/rejects", f"{path}/commits", f"{schema}, reject_reason string, batch_id bigint")

@@ -8,6 +8,7 @@ from pyspark.sql.streaming import StreamingQuery
 from windrow import constants as c
 from windrow.operators.counts import running_count, tumbling_count
 from windrow.operators.tokens import line_words, whitespace_words
+from windrow.sinks.totals import start_totals
 from windrow.streaming.queries import start_running_totals
 
 
@@ -28,6 +29,18 @@ def start_message_counts(
     return start_running_totals(message_counts(raw, pattern=pattern), path, checkpoint=checkpoint, every=every)
 
 
+def start_message_totals(
+    raw: DataFrame,
+    path: str,
+    *,
+    checkpoint: str,
+    pattern: str = c.LINE_SEPARATOR,
+    every: str | None = c.MESSAGE_CHECKPOINT_INTERVAL,
+) -> StreamingQuery:
+    """Keep the totals below `path` as a snapshot and changes; see `windrow.sinks.totals`."""
+    return start_totals(message_counts(raw, pattern=pattern), path, checkpoint=checkpoint, every=every)
+
+
 def windowed_word_counts(lines: DataFrame, *, time: str = "timestamp", size: str = c.WORD_COUNT_WINDOW) -> DataFrame:
     """`word, window_start, window_end, cnt`: words per window of arrival time.
 

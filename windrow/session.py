@@ -2,14 +2,19 @@
 
 from __future__ import annotations
 
+import contextlib
 import math
+import os
 import tempfile
 import uuid
+from collections.abc import Iterator
 
 from pyspark.sql import SparkSession
 
 CHECKPOINT_DIR = "spark.checkpoint.dir"
 
+STATE_STORE = "spark.sql.streaming.stateStore.providerClass"
+
 _LOCAL_DIRS: dict[str, str] = {}  # application id -> folder, local mode without the setting only
 
 BASE_CONF = {
@@ -22,7 +27,7 @@ BASE_CONF = {
     # checkpointed intermediate tables go when nothing refers to them any more
     "spark.cleaner.referenceTracking.cleanCheckpoints": "true",
     # unbounded running counts and wide windows outgrow a heap-held state store
-    "spark.sql.streaming.stateStore.providerClass":
+    STATE_STORE:
         "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider",
     "spark.sql.streaming.stateStore.rocksdb.changelogCheckpointing.enabled": "true",
 }
@@ -80,6 +85,32 @@ def scratch_path(spark: SparkSession, label: str) -> str:
     return f"{shared_dir(spark).rstrip('/')}/windrow/{label}-{uuid.uuid4().hex}"
 
 
+@contextlib.contextmanager
+def state_in_rocksdb(spark: SparkSession) -> Iterator[None]:
+    """Streaming queries started inside keep their state in RocksDB, whatever the session says; state with timers needs it.
+
+    A query copies the session's settings when it starts, so others are not touched.
+    """
+    before = spark.conf.get(STATE_STORE, None)
+    spark.conf.set(STATE_STORE, BASE_CONF[STATE_STORE])
+    try:
+        yield
+    finally:
+        if before is None:
+            spark.conf.unset(STATE_STORE)
+        else:
+            spark.conf.set(STATE_STORE, before)
+
+
+def let_workers_import(spark: SparkSession) -> None:
+    """Python workers on this machine find the package wherever the session was started from.
+
+    On a cluster the package is installed or sent with `--py-files`.
+    """
+    root = os.path.dirname(os.path.dirname(os.path.abspath(__file__)))
+    spark.sparkContext.environment.setdefault("PYTHONPATH", root)
+
+
 def enable_checkpoints(spark: SparkSession) -> None:
     """Let `DataFrame.checkpoint()` write to the shared folder."""
     if spark.sparkContext.getCheckpointDir() is None:

@@ -20,6 +20,7 @@ from pyspark.sql.streaming import DataStreamWriter, StreamingQuery
 
 from windrow.operators.topn import top_n_per_window
 from windrow.sinks.buckets import BUCKET, encoded
+from windrow.sinks.commits import commit_batch
 
 BatchSink = Callable[[DataFrame, int], None]
 
@@ -56,6 +57,14 @@ def start_bucketed(
     return _started(writer, checkpoint, every, name)
 
 
+def start_files(
+    df: DataFrame, path: str, fmt: str = "parquet", *, checkpoint: str, every: str | None = None, name: str | None = None
+) -> StreamingQuery:
+    """Append the rows of a stream to files below `path`, exactly once."""
+    writer = df.writeStream.format(fmt).outputMode("append").option("path", path)
+    return _started(writer, checkpoint, every, name)
+
+
 def start_console(
     df: DataFrame,
     *,
@@ -114,15 +123,22 @@ def fan_out(
     mode: str = "append",
     every: str | None = None,
     name: str | None = None,
+    commits: str | None = None,
 ) -> StreamingQuery:
     """Send one stream to several sinks, computing every micro-batch once.
 
+    With `commits`, a folder, a micro-batch is marked there when all sinks have it. What `read_committed` shows of
+    them then has each micro-batch in all sinks or in none, also while the query runs and after it was
+    killed between two sinks; a repeated micro-batch replaces its first attempt.
+
     Independent queries with checkpoints of their own do too, at the price of reading the source
     and keeping the state once per sink.
     """
 
     def deliver(batch: DataFrame, batch_id: int) -> None:
         _deliver(batch, batch_id, sinks, shared=len(sinks) > 1)
+        if commits:
+            commit_batch(batch.sparkSession, commits, batch_id)
 
     return _started(df.writeStream.outputMode(mode).foreachBatch(deliver), checkpoint, every, name)
 
