@@ -20,6 +20,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from windrow.llm.columns import cut, running_maxima, running_sums
 from windrow.llm.quality import let
 from windrow.session import scratch_path
 
@@ -48,28 +49,14 @@ def _spans(text: Column, kind: int, pattern: str, holds: Column | None = None, k
     """Spans of one kind: the pieces between matches give the places, since Spark has no positions."""
 
     def placed(found: Column) -> Column:
-        sizes = F.transform(found, F.length)
-        gaps = F.transform(F.split(text, pattern, -1), F.length)
-
-        def at(both: Column) -> Column:
-            ends = F.aggregate(
-                F.sequence(F.lit(0), F.size(found) - 1),
-                F.array().cast("array<int>"),
-                lambda a, i: F.concat(
-                    a, F.array((F.coalesce(F.element_at(F.concat(F.array(F.lit(0)), a), -1), F.lit(0)) + F.get(both["g"], i) + F.get(both["s"], i)))
-                ),
-            )
-            return let(
-                ends,
-                lambda e: F.transform(
-                    found,
-                    lambda m, i: F.struct(
-                        (F.get(e, i) - F.get(both["s"], i)).alias("start"), F.lit(kind).alias("kind"), F.get(e, i).alias("stop"), m.alias("m")
-                    ),
-                ),
-            )
-
-        return let(F.struct(gaps.alias("g"), sizes.alias("s")), at)
+        gaps = F.split(text, pattern, -1)
+        ends = let(gaps, lambda g: running_sums(F.transform(found, lambda m, i: F.length(F.get(g, i)) + F.length(m))))
+
+        def span(m: Column, end: Column) -> Column:
+            stop = end.cast("int")
+            return F.struct((stop - F.length(m)).alias("start"), F.lit(kind).alias("kind"), stop.alias("stop"), m.alias("m"))
+
+        return let(ends, lambda e: F.transform(found, lambda m, i: span(m, F.get(e, i))))
 
     none = F.array().cast(SPAN)
     spans = let(F.regexp_extract_all(text, F.lit(pattern), F.lit(0)), lambda f: F.when(F.size(f) > 0, placed(f)))
@@ -104,10 +91,11 @@ def blob(text: Column) -> Column:
 
 
 def update_ledger(versions: DataFrame, ledger: str, rules: int = RULE_VERSION, text: str = "text") -> DataFrame:
-    """Scan what the ledger at `ledger` does not have yet, add it, and return the ledger's rows for `rules`.
+    """Scan what the ledger at `ledger` does not have yet, add it, and return the ledger's findings for `rules`, one row per blob.
 
     A lost task is run again before anything of the new part is visible; a job that is run again
-    finds the pairs of finished parts and scans the others only.
+    finds the pairs of finished parts and scans the others only. Two scans at the same time may both add a pair; their rows are
+    equal, and readers take one. Blobs without findings are in the ledger, but not in what is returned.
     """
     spark = versions.sparkSession
     known = read_ledger(spark, ledger).filter(F.col("rules") == rules)
@@ -115,7 +103,8 @@ def update_ledger(versions: DataFrame, ledger: str, rules: int = RULE_VERSION, t
     blobs = blobs.groupBy("blob").agg(F.first("text").alias("text"))
     new = blobs.join(known.select("blob"), "blob", "left_anti")
     new.select("blob", F.lit(rules).alias("rules"), spans(F.col("text")).alias("spans")).write.mode("append").parquet(ledger)
-    return read_ledger(spark, ledger).filter(F.col("rules") == rules).select("blob", "spans")
+    found = read_ledger(spark, ledger).filter((F.col("rules") == rules) & (F.size("spans") > 0))
+    return found.select("blob", "spans").dropDuplicates(["blob"])
 
 
 def read_ledger(spark: SparkSession, ledger: str) -> DataFrame:
@@ -126,7 +115,7 @@ def read_ledger(spark: SparkSession, ledger: str) -> DataFrame:
 
 def scan(versions: DataFrame, ledger: str, rules: int = RULE_VERSION, key: str = "doc_id", text: str = "text") -> DataFrame:
     """`key` and `spans` of every version (row)."""
-    found = update_ledger(versions, ledger, rules, text).filter(F.size("spans") > 0)
+    found = update_ledger(versions, ledger, rules, text)
     rows = versions.select(key, blob(F.col(text)).alias(f"{_P}blob"))
     found = found.select(F.col("blob").alias(f"{_P}found"), "spans")
     joined = rows.join(found, F.col(f"{_P}blob") == F.col(f"{_P}found"), "left")
@@ -142,16 +131,23 @@ def described(spans: Column, kinds: tuple[str, ...] = KINDS) -> Column:
 
 
 def masked(text: Column, spans: Column) -> Column:
-    """The text with every span, or run of overlapping spans, replaced by a mark."""
-    start = F.struct(F.lit("").alias("out"), F.lit(0).alias("at"))
-
-    def add(done: Column, s: Column) -> Column:
-        gap = F.concat(done["out"], F.substring(text, done["at"] + 1, s["start"] - done["at"]), F.lit(MASK))
-        return F.struct(
-            F.when(s["start"] >= done["at"], gap).otherwise(done["out"]).alias("out"), F.greatest(done["at"], s["stop"]).alias("at")
+    """The text with every span, or run of overlapping spans, replaced by a mark. `spans` are in order of their starts."""
+
+    def gaps(spans: Column, reach: Column) -> Column:
+        """What no span covers: before each run of overlapping spans, and behind the last. `reach`: the end of all spans so far."""
+        first = F.filter(F.sequence(F.lit(0), F.size(spans) - 1), lambda i: (i == 0) | (F.get(spans, i)["start"] >= F.get(reach, i - 1)))
+        before = F.transform(
+            first,
+            lambda i: F.struct(F.coalesce(F.get(reach, i - 1), F.lit(0)).alias("start"), F.get(spans, i)["start"].cast("long").alias("stop")),
         )
+        last = F.struct(F.element_at(reach, -1).alias("start"), F.length(text).cast("long").alias("stop"))
+        return F.concat(before, F.array(last))
+
+    def built(spans: Column) -> Column:
+        reach = running_maxima(F.transform(spans, lambda s: s["stop"]))
+        return F.array_join(cut(text, let(reach, lambda r: gaps(spans, r))), MASK)
 
-    return F.aggregate(spans, start, add, lambda d: F.concat(d["out"], F.substring(text, d["at"] + 1, F.length(text) - d["at"])))
+    return let(spans, lambda s: F.when(F.size(s) > 0, built(s)).otherwise(text))
 
 
 def mask(
@@ -159,7 +155,7 @@ def mask(
 ) -> DataFrame:
     """`docs` with secrets masked; a column `n_chars`, if there is one, follows texts that change."""
     ledger = ledger or scratch_path(docs.sparkSession, "ledger")
-    found = update_ledger(docs, ledger, rules, text).filter(F.size("spans") > 0)
+    found = update_ledger(docs, ledger, rules, text)
     found = found.select(F.col("blob").alias(f"{_P}blob"), F.col("spans").alias(f"{_P}spans"))
     rows = docs.join(found, blob(F.col(text)) == F.col(f"{_P}blob"), "left")
     has = F.col(f"{_P}spans").isNotNull()
