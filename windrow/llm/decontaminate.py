@@ -6,11 +6,12 @@ are streamed through it, which tracks the longest match that ends at each word.
 `window` words, the last `window` words are hit; an item shorter than that counts where the whole of
 it matches. Documents are not shuffled.
 
-Items are taken in shards of at most `shard_words` words, so that what is sent to the executors is
-bounded; with more than one shard the documents are read once for each. Repeated items each count
+Items are taken in shards of at most `shard_words` words (one longer item is a shard of its own), so that what is built on the
+driver and sent to the executors is bounded: 2^18 words take some 140 MB. With more than one shard the documents are read once
+for each, one shard after the other, and the hits of a shard are stored before the next is built. Repeated items each count
 under their own id; an item without words matches nothing; one with a null id makes words hit but
 is not listed. Null and empty documents have no words. Every document row is judged by itself, so
-repeated rows stay; with several shards, rows are told apart by a hash of key and text. Only the
+repeated rows stay; with several shards, findings are joined by a hash of the text. Only the
 columns named are read; an empty table gives an empty result.
 """
 
@@ -25,14 +26,18 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+from pyspark import Broadcast
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from windrow.llm.arrow import chunks
+from windrow.llm.columns import running_maxima
+from windrow.llm.quality import let
 from windrow.operators.small_side import broadcast_if_small
+from windrow.session import scratch_path
 
 WINDOW = 10
-SHARD_WORDS = 1 << 20
+SHARD_WORDS = 1 << 18
 MAX_COVERAGE = 0.5
 DIGEST, HITS = "_decontaminate_digest", "_decontaminate_hits"
 WORD = re.compile(rb"[^\x00-\x2F\x3A-\x60\x7B-\x7F]+")
@@ -157,8 +162,7 @@ def _shards(benchmark: DataFrame, item: str, text: str, shard_words: int) -> Ite
     yield lot
 
 
-def _scan(docs: DataFrame, automaton: Automaton, key: str, text: str, window: int) -> DataFrame:
-    shared = docs.sparkSession.sparkContext.broadcast(automaton)
+def _scan(docs: DataFrame, shared: Broadcast, key: str, text: str, window: int) -> DataFrame:
     kind = docs.schema[key].dataType.simpleString()
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -191,19 +195,42 @@ SPANS = pa.list_(pa.struct([("start", pa.int32()), ("stop", pa.int32())]))
 
 def _merged(spans: Column) -> Column:
     """Sorted spans without overlaps."""
+
+    def joined(s: Column, reach: Column) -> Column:
+        first = F.filter(F.sequence(F.lit(0), F.size(s) - 1), lambda i: (i == 0) | (F.get(s, i)["start"] > F.get(reach, i - 1)))
+
+        def run(firsts: Column, i: Column, k: Column) -> Column:
+            last = F.coalesce(F.get(firsts, k + 1), F.size(s)) - 1
+            return F.struct(F.get(s, i)["start"].alias("start"), F.get(reach, last).cast("int").alias("stop"))
+
+        return let(first, lambda f: F.transform(f, lambda i, k: run(f, i, k)))
+
     empty = F.array().cast("array<struct<start:int,stop:int>>")
-    merged = F.aggregate(
-        spans,
-        empty,
-        lambda done, s: F.when(
-            (F.size(done) > 0) & (F.element_at(done, -1)["stop"] >= s["start"]),
-            F.concat(
-                F.slice(done, 1, F.size(done) - 1),
-                F.array(F.struct(F.element_at(done, -1)["start"].alias("start"), F.greatest(F.element_at(done, -1)["stop"], s["stop"]).alias("stop"))),
-            ),
-        ).otherwise(F.concat(done, F.array(s))),
+    ends = lambda s: running_maxima(F.transform(s, lambda x: x["stop"]))
+    return let(spans, lambda s: F.when(F.size(s) > 0, let(ends(s), lambda r: joined(s, r))).otherwise(empty))
+
+
+def _stored_hits(docs: DataFrame, lots: Iterator[list], key: str, text: str, window: int) -> tuple[DataFrame, DataFrame]:
+    """`key`, `digest`, `n_words` of every row; `digest`, `spans` and `items` of the texts with hits, over all shards.
+
+    One shard at a time: its automaton is built, sent out, and given up when its hits are stored.
+    """
+    spark = docs.sparkSession
+    tables = []
+    for lot in lots:
+        shared = spark.sparkContext.broadcast(Automaton(lot, window))
+        found = _scan(docs, shared, key, text, window)
+        path = scratch_path(spark, "hits")
+        (found if not tables else found.filter(F.size("spans") > 0)).write.parquet(path)
+        shared.destroy()
+        tables.append(spark.read.schema(found.schema).parquet(path))
+    hits = [t.filter(F.size("spans") > 0).select("digest", "spans", "items") for t in tables]
+    # findings go by the text alone, so equal texts are combined before rows are moved
+    merged = functools.reduce(DataFrame.unionByName, hits).groupBy("digest").agg(
+        _merged(F.array_sort(F.flatten(F.collect_set("spans")))).alias("spans"),
+        F.array_sort(F.array_distinct(F.flatten(F.collect_set("items")))).alias("items"),
     )
-    return F.when(F.size(spans) > 0, merged).otherwise(empty)
+    return tables[0].select(key, "digest", "n_words"), merged
 
 
 def find(
@@ -217,27 +244,20 @@ def find(
     shard_words: int = SHARD_WORDS,
 ) -> DataFrame:
     """A row for each document: `key`, `n_words`, `n_hit`, `spans` of words hit, `items` found."""
-    parts = [
-        _scan(docs, Automaton(lot, window), key, text, window) for lot in _shards(benchmark, item, item_text, shard_words)
-    ]
-    n_hit = F.aggregate("spans", F.lit(0).cast("long"), lambda a, s: a + s["stop"] - s["start"])
-    if len(parts) == 1:
-        return parts[0].select(key, "n_words", n_hit.alias("n_hit"), "spans", "items")
-    every = parts[0].withColumn("shard", F.lit(0))
-    for i, part in enumerate(parts[1:], 1):
-        every = every.unionByName(part.withColumn("shard", F.lit(i)))
-    # equal rows have equal findings in every shard: they are counted, joined and given back
-    one = every.groupBy(key, "digest", "shard").agg(
-        F.count(F.lit(1)).alias("copies"), F.first("n_words").alias("n_words"), F.first("spans").alias("spans"), F.first("items").alias("items")
-    )
-    joined = one.groupBy(key, "digest").agg(
-        F.max("copies").alias("copies"),
-        F.max("n_words").alias("n_words"),
-        F.array_sort(F.flatten(F.collect_list("spans"))).alias("spans"),
-        F.array_sort(F.array_distinct(F.flatten(F.collect_list("items")))).alias("items"),
+    lots = _shards(benchmark, item, item_text, shard_words)
+    first, second = next(lots), next(lots, None)
+    n_hit = F.aggregate("spans", F.lit(0).cast("long"), lambda a, s: a + s["stop"] - s["start"]).alias("n_hit")
+    if second is None:
+        shared = docs.sparkSession.sparkContext.broadcast(Automaton(first, window))
+        return _scan(docs, shared, key, text, window).select(key, "n_words", n_hit, "spans", "items")
+    rows, merged = _stored_hits(docs, itertools.chain((first, second), lots), key, text, window)
+    joined = rows.join(merged, "digest", "left").select(
+        key,
+        "n_words",
+        F.coalesce("spans", F.array().cast("array<struct<start:int,stop:int>>")).alias("spans"),
+        F.coalesce("items", F.array().cast("array<string>")).alias("items"),
     )
-    rows = joined.withColumn("spans", _merged(F.col("spans"))).withColumn("copy", F.explode(F.sequence(F.lit(1), F.col("copies").cast("int"))))
-    return rows.select(key, "n_words", n_hit.alias("n_hit"), "spans", "items")
+    return joined.select(key, "n_words", n_hit, "spans", "items")
 
 
 def remove(
@@ -268,11 +288,10 @@ def remove(
 
     # all shards judge the text as it came in; equal texts have equal findings
     hashed = docs.select(F.sha2(docs[text].cast("binary"), 256).alias(DIGEST), docs[text].alias(text))
-    parts = [_scan(hashed, Automaton(lot, window), DIGEST, text, window).select(DIGEST, "spans") for lot in itertools.chain((first, second), lots)]
-    found = functools.reduce(DataFrame.unionByName, parts).filter(F.size("spans") > 0)
+    named, merged = _stored_hits(hashed, itertools.chain((first, second), lots), DIGEST, text, window)
     # as text, whose size is counted before it is broadcast
-    merged = F.to_json(_merged(F.array_sort(F.flatten(F.collect_set("spans"))))).alias(HITS)
-    spans = broadcast_if_small(found.groupBy(DIGEST).agg(merged))
+    found = named.select(DIGEST, "digest").distinct().join(merged, "digest")
+    spans = broadcast_if_small(found.select(DIGEST, F.to_json("spans").alias(HITS)))
     rows = docs.withColumn(DIGEST, F.sha2(docs[text].cast("binary"), 256)).join(spans, DIGEST, "left").drop(DIGEST)
 
     def known(texts: list[bytes], part: pa.RecordBatch) -> Iterator[np.ndarray | None]:
