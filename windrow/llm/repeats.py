@@ -40,7 +40,6 @@ PIECE_BYTES = 1 << 16  # the arrays of a piece stay in a core's cache
 TEXT_BYTES = 1 << 15
 BLOCK_BYTES = 4 << 20  # a block's or a bucket's contexts have several times the bytes of its text, in Python objects
 BUCKET_BYTES = 4 << 20
-INTERVALS = 1 << 13  # extended together
 ANCHOR_RUNS = 1 << 11  # contexts of one anchor in a bucket
 LAST_ID = np.iinfo(np.int64).max
 
@@ -232,35 +231,38 @@ def divide(text: np.ndarray, length: int) -> tuple[np.ndarray, np.ndarray]:
         second = np.r_[rank[step:], np.zeros(min(step, n), np.int64)][:n]
         pair = rank * (int(rank.max()) + 2) + second
         values, rank = np.unique(pair, return_inverse=True)
-        if len(values) == n:
-            break
         step *= 2
+        if len(values) == n or step >= length:  # what follows further on cannot matter
+            break
         rank = rank + 1
     order = np.argsort(rank, kind="stable")
     before = text[order - 1]  # the transform; the text ends in a closing
-    symbols = np.unique(text)
-    symbols = symbols[symbols > 0]
-    is_symbol = before[:, None] == symbols[None, :]
-    occurs = np.zeros((n + 1, len(symbols)), np.uint16 if n < 1 << 16 else np.uint32)
-    np.cumsum(is_symbol, axis=0, out=occurs[1:], dtype=occurs.dtype)
-    first = np.searchsorted(np.sort(text), symbols)  # suffixes that begin with a smaller symbol
+    # the place of the suffix that is one byte longer: those with equal bytes in front stay in order
+    longer = np.empty(n, np.int64)
+    longer[np.argsort(before, kind="stable")] = np.arange(n)
     boundary = np.zeros(n + 1, bool)
     boundary[: closing[-1] + 1] = True  # closings differ from everything
     boundary[n] = True
     low, high = np.array([0]), np.array([n])
     for _ in range(length):
-        ends, fresh_low, fresh_high = [], [], []
-        for a in range(0, len(low), INTERVALS):
-            lo, hi = occurs[low[a : a + INTERVALS]], occurs[high[a : a + INTERVALS]]
-            i, c = np.nonzero(hi > lo)
-            new_low, new_high = first[c] + lo[i, c], first[c] + hi[i, c]
-            ends += [new_low, new_high]
-            fresh = ~boundary[new_high] | ~boundary[new_low]
-            fresh_low.append(new_low[fresh])
-            fresh_high.append(new_high[fresh])
-        for places in ends:
-            boundary[places] = True
-        low, high = np.concatenate(fresh_low), np.concatenate(fresh_high)
+        alone = high - low == 1
+        one = low[alone]
+        one = longer[one[before[one] > 0]]
+        # the places of all other intervals, by interval and byte in front: each such stretch is an extension
+        start, size = low[~alone], (high - low)[~alone]
+        done = np.cumsum(size)
+        places = np.repeat(start - (done - size), size) + np.arange(int(size.sum()))
+        key = np.repeat(np.arange(len(start)), size) << 9 | before[places]
+        sort = np.argsort(key, kind="stable")
+        key = key[sort]
+        edge = np.flatnonzero(np.r_[True, key[1:] != key[:-1]]) if len(key) else np.empty(0, np.int64)
+        count = np.diff(np.r_[edge, len(key)])
+        real = key[edge] & 511 > 0
+        low = np.r_[one, longer[places[sort[edge[real]]]]]
+        high = low + np.r_[np.ones(len(one), np.int64), count[real]]
+        fresh = ~boundary[high] | ~boundary[low]
+        boundary[low] = boundary[high] = True
+        low, high = low[fresh], high[fresh]
         if not len(low):
             break
     return order, boundary[:n]
