@@ -329,6 +329,70 @@ def test_main_text(spark):
     assert found == {1: "Head One& two three four", 2: "first own words", 3: "second own words", 4: "", 5: ""}
 
 
+def test_main_text_by_the_suffixes_of_a_host(spark):
+    """Against a plain version: all runs of six words of a host's distinct pages, counted with whole strings."""
+    let_workers_import(spark)
+    draw = random.Random(21)
+    shared = ["all rights to these words are kept by us", "read more of what others liked to read today", "one two three four five", "write to the house at the end of the road or call"]
+
+    def own(n):
+        return " ".join(f"w{draw.randrange(10**6)}" for _ in range(n))
+
+    rows, plain = [], []
+    for i in range(120):
+        blocks = [(own(draw.randrange(1, 30)), draw.random() < 0.3) for _ in range(draw.randrange(1, 6))]
+        blocks += [(x, draw.random() < 0.1) for x in draw.sample(shared, draw.randrange(3))]
+        draw.shuffle(blocks)
+        if i % 10 == 9:
+            blocks = plain[-1][1]  # the same page under another address
+        host = f"h{draw.randrange(3)}.net" if i % 10 != 9 else plain[-1][0]
+        plain.append((host, blocks))
+        page = "".join(f"<article>{t}</article>" if m else f"<div>{t}</div>" for t, m in blocks)
+        rows.append((i, f"http://{host}/{i}", f"<body>{page}</body>", "x"))
+    pages: dict[tuple, set] = {}
+    for host, blocks in plain:
+        stream = " ".join(t for t, _ in blocks).split()
+        for k in range(len(stream) - 5):
+            pages.setdefault((host, tuple(stream[k : k + 6])), set()).add(tuple(t for t, _ in blocks))
+    expected = {}
+    for i, (host, blocks) in enumerate(plain):
+        stream = " ".join(t for t, _ in blocks).split()
+        inside = np.zeros(len(stream), bool)
+        for k in range(len(stream) - 5):
+            if len(pages[host, tuple(stream[k : k + 6])]) > 1:
+                inside[k : k + 6] = True
+        kept, at = [], 0
+        for text, main in blocks:
+            n = len(text.split())
+            if main or not inside[at : at + n].all():
+                kept.append(text)
+            at += n
+        expected[i] = " ".join(kept)
+    df = spark.createDataFrame([*rows, rows[3]], "page_id long, url string, html string, texts string").repartition(5)
+    got = html_text.main_text(df)
+    assert got.columns == ["page_id", "url", "text"]
+    found = [(r.page_id, r.text) for r in got.collect()]
+    assert len(found) == 121 and dict(found) == expected
+    everything = {i: " ".join(t for t, _ in blocks) for i, (_, blocks) in enumerate(plain)}
+    assert sum(expected[i] != everything[i] for i in expected) > 20  # the evidence decides
+    assert html_text.main_text(df.limit(0)).count() == 0
+
+
+def test_main_text_of_awkward_pages(spark):
+    let_workers_import(spark)
+    body = "the body of this page lies in a plain element and has many words of its own"
+    rows = [
+        (1, "http://a.b/1", f"<body><div>{body}</div><article>Card teaser text</article></body>"),
+        (2, "http://c.d/1", f"<body><p>{body}</p></body>"),
+        (3, "http://c.d/2", f"<body><p>{body}</p></body>"),
+        (4, "http://e.f/1", "<article><div class='ad-free'>kept</div><h2 class='article-header'>Head</h2><div class='comment-list x'>no</div><p class='ad'>no</p><ol id=comments>no</ol></article>"),
+        (5, "http://e.f/2", "<div class='ad-slot'>no</div><div class='site-header'>no</div><main><p>yes</p></main>"),
+        (6, None, None),
+    ]
+    found = {r.page_id: r.text for r in html_text.main_text(spark.createDataFrame(rows, "page_id long, url string, html string")).collect()}
+    assert found == {1: f"{body} Card teaser text", 2: body, 3: body, 4: "kept Head", 5: "yes", 6: ""}
+
+
 @pytest.mark.parametrize("shard_rows", [100, 1])
 def test_url_filter(spark, shard_rows):
     let_workers_import(spark)

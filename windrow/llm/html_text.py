@@ -1,19 +1,20 @@
 """Main text of web pages: markup first, then long substrings that pages of a host share.
 
 The markup gives blocks in page order. Elements that never hold main text (menus, page headers, footers, asides, forms,
-scripts, styles) and those whose class, id or role says so are noise.
+scripts, styles) and those whose class, id or role says so are noise. Outside `article` and `main` any word of a class or id may
+say so; inside, only a name that consists of such words and of words for layout (`comment-list`, but not `ad-free` or `article-header`).
 
 The blocks that remain form a page's stream of words, and all streams of a host one text. Its suffixes, cut at `words`
 words and not running across pages, are sorted by host and content; neighbours that agree in all of
-them are a substring repeated on distinct pages, whatever its full length. The order is spread over buckets by a fingerprint of
+them are a substring repeated on distinct pages, whatever its full length. The order is spread over buckets by a 64-bit fingerprint of
 the cut suffix with its host, so a large host is no large group, and a page block sends each cut suffix once. A block that such
 repeats cover wholly is boilerplate of the host and goes, unless it lies in an `article` or `main` element: what authors
-marked as the text stays even where another page repeats it. If a page marks a main element with
-text, only what lies in there is taken; else every unique run of blocks.
+marked as the text stays even where another page repeats it. Everything else stays: what is marked, and every unique run of
+blocks beside it. Suffixes that touch marked text only decide nothing and are left out.
 
-A null or empty page has an empty text. Pages of a null url share a host of their own. Repeated rows
-(same page id) are one page when repeats are counted, and each gives a row. Texts are never cut. Only the columns named are
-read; an empty table gives an empty result.
+Pages are distinct if their blocks differ: the same page under several addresses of a host, or in repeated rows, is one page when
+repeats are counted, and each row gives a row. A null or empty page has an empty text. Pages of a null url share a host of their
+own. Texts are never cut. Only the columns named are read; an empty table gives an empty result.
 """
 
 from __future__ import annotations
@@ -21,6 +22,7 @@ from __future__ import annotations
 import html
 import re
 from collections.abc import Iterator
+from typing import NamedTuple
 
 import numpy as np
 import pyarrow as pa
@@ -30,6 +32,7 @@ from pyspark.sql import functions as F
 
 from windrow.llm import exchange
 from windrow.llm.url_filter import host_of
+from windrow.session import scratch_path
 
 REPEAT_WORDS = 6
 
@@ -51,10 +54,26 @@ NOISE_WORDS = frozenset(
     " subscribe newsletter signup login comment comments disqus reply replies respond pagination pager toolbar"
     " contentinfo complementary search dialog alert form".split()
 )
+# words that say how a noise element is laid out, not what is in it
+LAYOUT_WORDS = frozenset(
+    "area bar block body box button buttons card cards column container content group inner item items left link links list main"
+    " outer panel post posts right row section slot text title unit wrap wrapper".split()
+)
 _END_RAW = {name: re.compile(rf"</{name}\b[^>]*>", re.I) for name in RAW}
 _WORD = re.compile(r"[a-zA-Z]+")
 
 
+def _says_noise(value: str, inside_main: bool) -> bool:
+    """Does a class, id or role name what holds no main text?"""
+    if not inside_main:
+        return not NOISE_WORDS.isdisjoint(_WORD.findall(value))
+    for name in value.split():
+        words = set(_WORD.findall(name))
+        if words & NOISE_WORDS and words <= NOISE_WORDS | LAYOUT_WORDS:
+            return True
+    return False
+
+
 def _noisy(name: str, attributes: str, inside_main: bool) -> bool:
     if name in NOISE and not (name == "header" and inside_main):
         return True
@@ -67,7 +86,7 @@ def _noisy(name: str, attributes: str, inside_main: bool) -> bool:
         if kind == "style":
             if "display:none" in value.replace(" ", ""):
                 return True
-        elif kind != "aria-hidden" and not NOISE_WORDS.isdisjoint(_WORD.findall(value)):
+        elif kind != "aria-hidden" and _says_noise(value, inside_main):
             return True
     return False
 
@@ -159,31 +178,85 @@ def _suffixes(host: str, texts: list[str], words: int) -> tuple[np.ndarray, np.n
     return key ^ (key >> np.uint64(32)), sizes
 
 
-def _pages(row: dict, words: int) -> Iterator[tuple[list[str], list[bool], np.ndarray, np.ndarray]]:
+class _Page(NamedTuple):
+    texts: list[str]
+    main: list[bool]
+    sizes: np.ndarray  # words of each block
+    places: np.ndarray  # where suffixes begin that touch a block outside the main element
+    keys: np.ndarray  # their fingerprints
+    content: int  # fingerprint of host and blocks
+
+
+def _pages(row: dict, words: int) -> list[_Page]:
     batch = exchange.from_bytes(row["payload"])
+    pages = []
     for host, texts, main in zip(*(batch.column(c).to_pylist() for c in ("host", "texts", "main"))):
-        yield texts, main, *_suffixes(host or "", texts, words)
+        if all(main):  # nothing to decide, also for a page without blocks
+            pages.append(_Page(texts, main, np.empty(0, np.int64), np.empty(0, np.int64), np.empty(0, np.uint64), 0))
+            continue
+        keys, sizes = _suffixes(host or "", texts, words)
+        outside = np.r_[0, np.cumsum(np.repeat(~np.array(main), sizes))]
+        places = np.flatnonzero(outside[words:] > outside[:-words]) if len(keys) else np.empty(0, np.int64)
+        content = xxhash.xxh3_64_intdigest("\0".join([host or "", *texts]))
+        pages.append(_Page(texts, main, sizes, places, keys[places], content))
+    return pages
+
+
+def _contents(row: dict, words: int) -> np.ndarray:
+    """Fingerprints of the pages of a block that have something to decide."""
+    return np.unique(np.array([p.content for p in _pages(row, words) if len(p.places)], np.uint64))
+
+
+def _distinct(row: dict, words: int) -> tuple[list[_Page], np.ndarray, np.ndarray]:
+    """Pages of a block, its distinct suffix fingerprints, and for each how many of the pages that this block counts have it (2: more)."""
+    pages = _pages(row, words)
+    every = exchange.distinct(np.concatenate([p.keys for p in pages]))
+    mine = {c & 0xFFFFFFFFFFFFFFFF: p for p, c in enumerate(row["counted"] or [])}
+    low, high = np.full(len(every), len(mine)), np.full(len(every), -1)
+    for p in pages:
+        number = mine.get(p.content) if len(p.places) else None
+        if number is not None:
+            at = np.searchsorted(every, p.keys)
+            low[at], high[at] = np.minimum(low[at], number), np.maximum(high[at], number)
+    return pages, every, np.where(high < 0, 0, np.where(low < high, 2, 1)).astype(np.uint8)
+
 
+def _packed(keys: np.ndarray, times: np.ndarray) -> bytes:
+    """Sorted distinct 64-bit keys as differences, the bytes of one weight side by side, then how often each counts."""
+    steps = np.diff(keys, prepend=np.uint64(0)).astype("<u8")
+    planes = np.ascontiguousarray(steps.view(np.uint8).reshape(-1, 8).T).tobytes()
+    return len(keys).to_bytes(4, "little") + pa.compress(planes + times.tobytes(), codec="zstd", asbytes=True)
 
-def _distinct(row: dict, words: int) -> tuple[list, np.ndarray, np.ndarray]:
-    """Pages of a block, its distinct suffix fingerprints, and which of them several of its pages have."""
-    pages = list(_pages(row, words))
-    ids = exchange.from_bytes(row["payload"]).column("id").to_pylist()
-    number: dict = {}
-    owner = np.repeat([number.setdefault(i if i is not None else ("row", k), len(number)) for k, i in enumerate(ids)], [len(p[2]) for p in pages])
-    keys = np.concatenate([p[2] for p in pages])
-    every = exchange.distinct(keys)
-    inverse = np.searchsorted(every, keys)
-    low, high = np.full(len(every), len(number)), np.full(len(every), -1)
-    np.minimum.at(low, inverse, owner)
-    np.maximum.at(high, inverse, owner)
-    return pages, every, low < high
+
+def _unpacked(body: bytes) -> tuple[np.ndarray, np.ndarray]:
+    n = int.from_bytes(body[:4], "little")
+    data = np.frombuffer(pa.decompress(body[4:], decompressed_size=9 * n, codec="zstd", asbytes=True), np.uint8)
+    steps = np.ascontiguousarray(data[: 8 * n].reshape(8, n).T).view("<u8").ravel()
+    return np.cumsum(steps, dtype=np.uint64), data[8 * n :]
+
+
+def _stretches(keys: np.ndarray, n: int) -> Iterator[tuple[int, slice]]:
+    """The buckets that sorted keys fall into, and where."""
+    bucket = exchange.bucket_of(keys, n)
+    cuts = [0, *(np.flatnonzero(bucket[1:] != bucket[:-1]) + 1).tolist(), len(keys)]
+    for a, b in zip(cuts, cuts[1:]):
+        if b > a:
+            yield int(bucket[a]), slice(a, b)
 
 
 def _question(row: dict, n: int, words: int) -> Iterator[tuple[int, bytes]]:
-    # a page that marks its main element needs no evidence, but gives it
-    for bucket, _, low in exchange.keys_by_bucket(_distinct(row, words)[1], n):
-        yield bucket, exchange.packed_keys(low)
+    _, every, times = _distinct(row, words)
+    for bucket, at in _stretches(every, n):
+        yield bucket, _packed(every[at], times[at])
+
+
+def _answer(group: list[dict]) -> list[bytes]:
+    """For every block's keys a bit each: do two distinct pages or more have it?"""
+    lists = [_unpacked(row["body"]) for row in group]
+    every, place = np.unique(np.concatenate([k for k, _ in lists]), return_inverse=True)
+    total = np.bincount(place, np.concatenate([t for _, t in lists]), len(every))
+    bits = np.split(total[place] > 1, np.cumsum([len(k) for k, _ in lists])[:-1])
+    return [np.packbits(x).tobytes() for x in bits]
 
 
 def _covered(seen: np.ndarray, sizes: np.ndarray, words: int) -> np.ndarray:
@@ -199,21 +272,41 @@ def _covered(seen: np.ndarray, sizes: np.ndarray, words: int) -> np.ndarray:
 
 
 def _texts(row: dict, n: int, words: int) -> list[str]:
-    pages, every, shared = _distinct(row, words)
+    pages, every, _ = _distinct(row, words)
+    shared = np.zeros(len(every), bool)
     replies = exchange.reply_of(row)
-    for bucket, places, values in exchange.keys_by_bucket(every, n):
+    for bucket, at in _stretches(every, n):
         if bucket in replies:
-            bits = np.unpackbits(np.frombuffer(replies[bucket], np.uint8), count=len(values)).astype(bool)
-            shared[places] |= bits[np.searchsorted(values, exchange.in_bucket(every[places], n))]
+            shared[at] = np.unpackbits(np.frombuffer(replies[bucket], np.uint8), count=at.stop - at.start).astype(bool)
     out = []
-    for texts, main, keys, sizes in pages:
-        seen = shared[np.searchsorted(every, keys)] if len(keys) else np.empty(0, bool)
-        covered = _covered(seen, sizes, words) if len(texts) else np.empty(0, bool)
-        marked = any(main)
-        out.append(" ".join(t for t, m, c in zip(texts, main, covered.tolist()) if m or not (marked or c)))
+    for p in pages:
+        if len(p.places):
+            seen = np.zeros(max(int(p.sizes.sum()) - words + 1, 0), bool)
+            seen[p.places] = shared[np.searchsorted(every, p.keys)]
+            covered = _covered(seen, p.sizes, words).tolist()
+            out.append(" ".join(t for t, m, c in zip(p.texts, p.main, covered) if m or not c))
+        else:
+            out.append(" ".join(p.texts))
     return out
 
 
+def _counted(blocks: DataFrame, words: int) -> DataFrame:
+    """`block`, `counted`: contents that the block counts for all blocks that have them. A number a page is moved."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for i in range(batch.num_rows):
+                row = {name: batch.column(name)[i].as_py() for name in batch.schema.names}
+                found = _contents(row, words)
+                columns = [pa.array(found.view(np.int64)), pa.array(np.full(len(found), row["block"]), pa.int64())]
+                yield pa.RecordBatch.from_arrays(columns, ["content", "block"])
+
+    first = blocks.mapInArrow(run, "content long, block long").groupBy("content").agg(F.min("block").alias("block"))
+    path = scratch_path(blocks.sparkSession, "contents")
+    first.groupBy("block").agg(F.sort_array(F.collect_list("content")).alias("counted")).write.parquet(path)
+    return blocks.sparkSession.read.schema("block long, counted array<long>").parquet(path)
+
+
 def main_text(pages: DataFrame, key: str = "page_id", url: str = "url", page: str = "html", words: int = REPEAT_WORDS) -> DataFrame:
     """`key`, `url` and `text` of every page."""
     kind = pages.schema[key].dataType.simpleString()
@@ -222,8 +315,9 @@ def main_text(pages: DataFrame, key: str = "page_id", url: str = "url", page: st
     # blocks of bounded size, parsed once
     blocks = exchange.pack(rows, "pages", _parse)
     n = exchange.bucket_count(blocks)
-    shared = exchange.answers(exchange.ask(blocks, lambda row: _question(row, n, words)), exchange.shared_keys, "boilerplate")
-    asked = blocks.join(shared, "block", "left")
+    counted = blocks.join(_counted(blocks, words), "block", "left")
+    shared = exchange.answers(exchange.ask(counted, lambda row: _question(row, n, words)), _answer, "boilerplate")
+    asked = counted.join(shared, "block", "left")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
