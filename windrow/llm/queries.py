@@ -106,7 +106,8 @@ def _hex(text: Column) -> Column:
 
 def formatted_conversations(spark: SparkSession, sf_dir: str) -> DataFrame:
     rows = table(spark, sf_dir, "conversations").select("conv_id", "turn", "role", "text")
-    rows = rows.unionByName(spark.createDataFrame(MARKED_TURNS, rows.schema))
+    marked = [F.struct(*(F.lit(v).alias(n) for v, n in zip(turn, rows.columns))) for turn in MARKED_TURNS]
+    rows = rows.unionByName(spark.range(1).select(F.inline(F.array(*marked))))
     found = chat.format_conversations(rows)
     turns = chat.turns_of(F.col("formatted"))
     listed = F.concat_ws("", F.transform("turns", lambda t: F.concat(t["role"], F.lit("\n"), t["text"], F.lit("\n"))))
