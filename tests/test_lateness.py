@@ -122,3 +122,14 @@ def test_streams_are_refused(spark):
     stream = spark.readStream.format("rate").load()
     with pytest.raises(ValueError):
         late_audit(stream, "value", "1 second", time="timestamp")
+
+
+def test_records_without_a_time_are_in_no_window(spark):
+    from windrow.operators.release import window_release
+
+    rows = [(0, None), (1, 5_000), (2, None), (3, 4_000)]
+    df = spark.createDataFrame(rows, "position long, ms long").withColumn("event_time", F.timestamp_millis("ms"))
+    kept = on_time_records(df, "position", "10 seconds").select("position", "window_start", "window_end")
+    released = window_release(df, "10 seconds").select("position", "window_start", "window_end")
+    assert sorted(map(tuple, kept.collect())) == sorted(map(tuple, released.collect()))
+    assert late_audit(df, "position", "10 seconds").count() == 4

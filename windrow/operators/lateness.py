@@ -96,5 +96,10 @@ def late_audit(
 
 
 def on_time_records(df: DataFrame, position: str, size: str, **more) -> DataFrame:
-    """The records a window buffer would let through: those that are not late."""
-    return late_audit(df, position, size, **more).filter(~F.col("is_late")).drop("is_late")
+    """The records a window buffer would let through: those that are not late.
+
+    A record without a time belongs to no window and does not come out, as in `window_release`; it moves the
+    watermark no further than 0, as in `punctuated_watermark`.
+    """
+    audited = late_audit(df, position, size, **more)
+    return audited.filter(~F.col("is_late") & F.col("window_end").isNotNull()).drop("is_late")
