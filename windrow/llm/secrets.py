@@ -104,7 +104,8 @@ def update_ledger(versions: DataFrame, ledger: str, rules: int = RULE_VERSION, t
     new = blobs.join(known.select("blob"), "blob", "left_anti")
     new.select("blob", F.lit(rules).alias("rules"), spans(F.col("text")).alias("spans")).write.mode("append").parquet(ledger)
     found = read_ledger(spark, ledger).filter((F.col("rules") == rules) & (F.size("spans") > 0))
-    return found.select("blob", "spans").dropDuplicates(["blob"])
+    # the findings of one blob are equal, so the set has one
+    return found.groupBy("blob").agg(F.get(F.collect_set("spans"), F.lit(0)).alias("spans"))
 
 
 def read_ledger(spark: SparkSession, ledger: str) -> DataFrame:
