@@ -285,13 +285,14 @@ def test_simhash(spark, docs, rows, none):
     assert simhash.near_duplicates(none).count() == 0
 
 
-def test_simhash_links_of_a_crowded_cell(spark):
+@pytest.mark.parametrize("bands", [None, 5, 8])
+def test_simhash_links_of_a_crowded_cell(spark, bands):
     let_workers_import(spark)
     draw = random.Random(4)
     base = [draw.getrandbits(64) for _ in range(30)]
     prints = sorted({b ^ sum(1 << k for k in draw.sample(range(64), draw.randrange(6))) for b in base for _ in range(20)})
     nodes = spark.createDataFrame([(p - (1 << 64) if p >> 63 else p,) for p in prints], "fp long")
-    labels = {r.node: r.label for r in simhash.components(simhash.links(nodes, tile=3)).collect()}
+    labels = {r.node: r.label for r in simhash.components(simhash.links(nodes, tile=3, bands=bands)).collect()}
     group = list(range(len(prints)))
     changed = True
     while changed:
@@ -306,6 +307,27 @@ def test_simhash_links_of_a_crowded_cell(spark):
     assert len(set(zip(got, group))) == len(set(got)) == len(set(group))
 
 
+def test_simhash_bands_follow_the_fingerprints(spark):
+    let_workers_import(spark)
+    draw = random.Random(5)
+    prints = [draw.getrandbits(64) for _ in range(500)]
+    counts = simhash.segment_counts(spark.createDataFrame([(p - (1 << 64) if p >> 63 else p,) for p in prints], "fp long").repartition(3))
+    fields = [[p >> 2 * s & 3 for p in prints] for s in range(32)]
+    assert counts.tolist() == [[sum(v.bit_count() == k for v in f) for k in range(3)] for f in fields]
+    spread = np.tile([1, 2, 1], (32, 1))
+    chosen = [simhash.choose_bands(spread * 10**k) for k in range(11)]
+    assert chosen[0] == 6 and chosen == sorted(chosen) and chosen[-1] > 8
+    # fingerprints that differ in few segments crowd their cells sooner
+    narrow = np.where(np.arange(32)[:, None] < 20, [4, 0, 0], [1, 2, 1])
+    assert simhash.choose_bands(narrow * 10**6) >= simhash.choose_bands(spread * 10**6)
+    assert simhash.choose_bands(np.zeros((32, 3))) == 6
+    # what a fingerprint can expect to meet in its cells stays bounded while the data grow a millionfold
+    for k in range(4, 11):
+        n, bands = 4 * 10**k, simhash.choose_bands(spread * 10**k)
+        met = sum(n * 0.375 ** len(c) for c in simhash._choices(4, bands))
+        assert met * simhash.PAIR_COST < 4 * len(list(simhash._choices(4, bands)))
+
+
 def test_one_id_for_different_texts(spark):
     let_workers_import(spark)
     words = [" ".join(f"{c}{i}" for i in range(40)) for c in "abcd"]

@@ -2,10 +2,13 @@
 
 Fingerprints are embedded as the bit counts of 32 two-bit segments; the Manhattan distance of two
 embeddings never exceeds the Hamming distance of the fingerprints. The grid is laid over bands of
-the embedding: with `BANDS` bands and at most `d` differing bits, at least BANDS - d bands are
-equal, so linked fingerprints meet in a cell of some choice of BANDS - d bands. Within a cell a
+the embedding: with `b` bands and at most `d` differing bits, at least b - d bands are
+equal, so linked fingerprints meet in a cell of some choice of b - d bands. Within a cell a
 pair must pass the Manhattan bound and then the exact bit comparison. Nothing is left out.
 
+That holds for any b > d. More bands mean more choices, but cells of more bits: the number of bands follows from the
+number of fingerprints and the measured spread of each segment, so that cells do not fill up as the data grow.
+
 Equal fingerprints are one node. A cell with more than `TILE` nodes is cut into tiles, and each
 pair of tiles is a group of its own, so that no task holds more than two tiles of one cell at a time. A
 group hands on a spanning forest of its links, never all pairs; components come from repeated
@@ -34,8 +37,9 @@ from windrow.llm.arrow import chunks
 from windrow.session import scratch_path
 
 SHINGLE_WORDS, MAX_BITS, SEED = 4, 4, 42
-BANDS = 6
 TILE = 2048
+MOST_BANDS = 12  # 495 choices with 4 differing bits
+PAIR_COST = 0.02  # of comparing two fingerprints of a cell, against storing and moving a row of a cell
 _ODD = np.uint64(0x5555555555555555)
 
 
@@ -98,12 +102,50 @@ def manhattan(a: np.ndarray, b: np.ndarray) -> np.ndarray:
     return _popcount(a ^ b)
 
 
+def _choices(max_bits: int, bands: int) -> Iterator[list[int]]:
+    """The segments of every choice of bands that must agree."""
+    edges = [round(k * 32 / bands) for k in range(bands + 1)]
+    runs = [range(a, b) for a, b in zip(edges, edges[1:])]
+    for chosen in itertools.combinations(runs, bands - max_bits):
+        yield [s for run in chosen for s in run]
+
+
 @functools.cache
-def _masks(max_bits: int) -> list[tuple[int, np.uint64]]:
-    """A mask of the embedding for every choice of bands that must agree."""
-    edges = [round(k * 32 / BANDS) for k in range(BANDS + 1)]
-    bands = [sum(3 << 2 * s for s in range(a, b)) for a, b in zip(edges, edges[1:])]
-    return [(i, np.uint64(sum(c))) for i, c in enumerate(itertools.combinations(bands, BANDS - max_bits))]
+def _masks(max_bits: int, bands: int) -> list[tuple[int, np.uint64]]:
+    """A mask of the embedding for every choice."""
+    return [(i, np.uint64(sum(3 << 2 * s for s in c))) for i, c in enumerate(_choices(max_bits, bands))]
+
+
+def segment_counts(nodes: DataFrame) -> np.ndarray:
+    """How many fingerprints have 0, 1 and 2 bits in each of the 32 segments."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            where = embedding(batch.column("fp").to_numpy().view(np.uint64))
+            found = [np.bincount((where >> np.uint64(2 * s) & np.uint64(3)).astype(np.int64), minlength=3) for s in range(32)]
+            found = np.array(found, np.int64)
+            yield pa.RecordBatch.from_arrays([pa.array(np.arange(32, dtype=np.int32)), *map(pa.array, found.T.copy())], ["segment", "n0", "n1", "n2"])
+
+    counted = nodes.select("fp").mapInArrow(run, "segment int, n0 long, n1 long, n2 long").groupBy("segment")
+    out = np.zeros((32, 3), np.int64)
+    for row in counted.agg(F.sum("n0"), F.sum("n1"), F.sum("n2")).collect():  # 32 rows
+        out[row[0]] = row[1:]
+    return out
+
+
+def choose_bands(counts: np.ndarray, max_bits: int = MAX_BITS) -> int:
+    """The number of bands with the least expected work for fingerprints of these segment counts.
+
+    A fingerprint has one row for each choice of bands, and meets those that agree in all segments of the choice: their share
+    is the product, over the segments, of the chance that two fingerprints agree there.
+    """
+    n = max(int(counts[0].sum()), 1)
+    equal = ((counts / n) ** 2).sum(axis=1)
+
+    def work(bands: int) -> float:
+        return sum(1 + PAIR_COST * n / 2 * float(np.prod(equal[c])) for c in _choices(max_bits, bands))
+
+    return min(range(min(max_bits + 2, 32), min(max(max_bits + 2, MOST_BANDS), 32) + 1), key=work)
 
 
 def _mixed(x: np.ndarray) -> np.ndarray:
@@ -111,14 +153,14 @@ def _mixed(x: np.ndarray) -> np.ndarray:
     return x ^ (x >> np.uint64(32))
 
 
-def _cells(nodes: DataFrame, max_bits: int) -> DataFrame:
+def _cells(nodes: DataFrame, max_bits: int, bands: int) -> DataFrame:
     """`grid` (which bands), `cell` (their bit counts) and `fp`, for every node and grid."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             fps = batch.column("fp").to_numpy().view(np.uint64)
             where = embedding(fps)
-            for grid, mask in _masks(max_bits):
+            for grid, mask in _masks(max_bits, bands):
                 yield pa.RecordBatch.from_arrays(
                     [
                         pa.array(np.full(len(fps), grid, np.int32)),
@@ -179,14 +221,19 @@ def _linked(fps: np.ndarray, group: np.ndarray, side: np.ndarray, max_bits: int)
     return _forest(fps, np.concatenate(found_a), np.concatenate(found_b))
 
 
-def links(nodes: DataFrame, max_bits: int = MAX_BITS, tile: int = TILE) -> DataFrame:
+def links(nodes: DataFrame, max_bits: int = MAX_BITS, tile: int = TILE, bands: int | None = None) -> DataFrame:
     """Edges `a`, `b` (fingerprints, a != b) that connect exactly what links of `nodes` connect.
 
-    `nodes` has distinct fingerprints in `fp`.
+    `nodes` is a stored table with distinct fingerprints in `fp`. `bands` changes the work, not what is connected; unless
+    given, it follows from the fingerprints.
     """
     spark = nodes.sparkSession
+    if bands is None:
+        bands = choose_bands(segment_counts(nodes), max_bits)
+    if not max_bits < bands <= 32:
+        raise ValueError(f"bands must be more than {max_bits} and at most 32, not {bands}")
     path = scratch_path(spark, "cells")
-    _cells(nodes, max_bits).write.parquet(path)
+    _cells(nodes, max_bits, bands).write.parquet(path)
     cells = spark.read.parquet(path)
     full = cells.groupBy("grid", "cell").count().filter(F.col("count") > tile)
     full = full.select(F.col("grid").alias("full_grid"), F.col("cell").alias("full_cell"), F.ceil(F.col("count") / tile).cast("int").alias("tiles"))
@@ -274,7 +321,9 @@ def near_duplicates(
 def _grouped(rows: DataFrame, key: str, max_bits: int) -> DataFrame:
     """Add `component_fp` and `component_id` to stored rows with a fingerprint."""
     spark = rows.sparkSession
-    nodes = rows.groupBy("fp").agg(F.min(key).alias("first"))
+    path = scratch_path(spark, "nodes")
+    rows.groupBy("fp").agg(F.min(key).alias("first")).write.parquet(path)
+    nodes = spark.read.parquet(path)
     labels = components(links(nodes, max_bits))
     nodes = nodes.join(labels, F.col("fp") == F.col("node"), "left")
     nodes = nodes.select("fp", "first", F.coalesce("label", "fp").alias("component_fp"))
