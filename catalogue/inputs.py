@@ -119,6 +119,26 @@ def messages(events: DataFrame) -> DataFrame:
     )
 
 
+def number_messages(events: DataFrame) -> DataFrame:
+    """Every event as a message with numbers of fraction and exponent: at the top, in objects and arrays, beside strings
+    that look alike, beside escaped quotes, longer than any number type."""
+    number = F.col("event_id")
+    millis = F.unix_millis(F.col("ts").cast("timestamp")).cast("string")
+    fraction = F.concat(F.col("user_id").cast("string"), F.lit("."), F.lpad((number % 1000).cast("string"), 3, "0"), F.lit("0"))
+
+    def message(text: str) -> Column:
+        filled = F.replace(F.lit(text), F.lit("FRACTION"), fraction)
+        return F.replace(filled, F.lit("MILLIS"), millis)
+
+    value = (
+        F.when(number % 4 == 0, message('{"RAWID":FRACTION,"pos":MILLIS,"OLD_STATE":{"v":FRACTION,"w":[1, -FRACTION]},"NEW_STATE":7e+2}'))
+        .when(number % 4 == 1, message('{"RAWID":"FRACTION,1.50}","pos":MILLIS,"OLD_STATE":12345678901234567890FRACTION}'))
+        .when(number % 4 == 2, message('{"RAWID":"a\\"FRACTION,\\\\","pos":MILLIS,"OLD_STATE": -0.10 ,"NEW_STATE":true,"RSD_02":"1.0"}'))
+        .otherwise(message('{"pos": FRACTION,"RAWID":FRACTION}'))
+    )
+    return events.select(value.alias("value"), "event_id")
+
+
 def arrivals(events: DataFrame) -> DataFrame:
     """All events with their place of arrival."""
     return events.select(

@@ -102,6 +102,23 @@ _STATE_FIELDS = "time, id, old_state, new_state, eqp_id"
 _PASSING_FIELDS = '"passingTime", "plateNo"'
 
 
+_NUMBER_TEXT = """
+with numbers as (
+  select event_id, event_id % 4 as kind, cast(epoch_us(ts) // 1000 as varchar) as millis,
+    user_id || '.' || lpad(cast(event_id % 1000 as varchar), 3, '0') || '0' as fraction
+  from events
+)
+select event_id,
+  case when kind = 3 then fraction else millis end as time,
+  case kind when 1 then fraction || ',1.50}' when 2 then 'a"' || fraction || ',\\' else fraction end as id,
+  case kind when 0 then '{"v":' || fraction || ',"w":[1,-' || fraction || ']}'
+    when 1 then '12345678901234567890' || fraction when 2 then '-0.10' else 'Null' end as old_state,
+  case kind when 0 then '7e+2' when 2 then 'true' else 'Null' end as new_state,
+  case kind when 2 then '1.0' else 'Null' end as eqp_id,
+  case when kind = 3 then 'bad_event_time' end as reject_reason
+from numbers"""
+
+
 def _window(size: int, time: str = "event_time") -> str:
     return (
         f"time_bucket(interval {size} second, {time}) as window_start, "
@@ -207,6 +224,7 @@ from events group by all""",
     "state_events_normalised": f"with {_STATE} select event_id, {_STATE_FIELDS}, event_time from good",
     "state_events_rejects": f"""with {_STATE}
 select event_id, value, reject_reason from judged where reject_reason is not null""",
+    "state_events_number_text": _NUMBER_TEXT,
     "passing_records_normalised": f"with {_PASSING} select event_id, {_PASSING_FIELDS}, event_time from good",
     "passing_records_rejects": f"""with {_PASSING}
 select event_id, value, reject_reason from judged where reject_reason is not null""",

@@ -115,6 +115,12 @@ def state_events_rejects(spark: SparkSession, sf_dir: str) -> DataFrame:
     return refused.select("event_id", "value", "reject_reason")
 
 
+def state_events_number_text(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Numbers with a fraction or an exponent stay as they are written; a time with a fraction is none."""
+    records = normalise_state_events(inputs.number_messages(_events(spark, sf_dir)))
+    return records.select("event_id", *STATE_EVENTS.fields, "reject_reason")
+
+
 def passing_records_normalised(spark: SparkSession, sf_dir: str) -> DataFrame:
     records = good_records(normalise_passing_records(_messages(spark, sf_dir)))
     return records.select("event_id", *PASSING_RECORDS.fields, plain("event_time"))
@@ -429,6 +435,7 @@ QUERIES: dict[str, Query] = {
     "tumbling_value_sum": tumbling_value_sum,
     "state_events_normalised": state_events_normalised,
     "state_events_rejects": state_events_rejects,
+    "state_events_number_text": state_events_number_text,
     "passing_records_normalised": passing_records_normalised,
     "passing_records_rejects": passing_records_rejects,
     "state_events_windowed": state_events_windowed,

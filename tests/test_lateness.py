@@ -1,5 +1,6 @@
 """The replayed watermark against a plain loop over the arrivals."""
 
+import math
 import random
 
 import pytest
@@ -7,7 +8,7 @@ from pyspark.sql import functions as F
 
 from windrow.operators import small_side
 from windrow.operators.lateness import late_audit, on_time_records, punctuated_watermark
-from windrow.operators.ordering import running_before, with_arrival_position
+from windrow.operators.ordering import LEVEL_BLOCK, ROW_BLOCK, TOP_ROWS, blocks_for, running_before, with_arrival_position
 
 SIZE = 1_000
 
@@ -56,7 +57,7 @@ def test_audit(spark, seed, n, spread, low, by):
 
 
 @pytest.mark.parametrize("by", [[], ["source"]])
-@pytest.mark.parametrize("blocks", [(1 << 20, 1 << 12), (7, 3), (16,), (5, 2, 2)])
+@pytest.mark.parametrize("blocks", [(1 << 20, 1 << 12), (7, 3), (16,), (5, 2, 2), None])
 def test_watermark(spark, by, blocks):
     rows = _arrivals(6, 300, 2_000, -3_000)
     replayed = punctuated_watermark(_frame(spark, rows), "position", by=by, blocks=blocks).collect()
@@ -133,3 +134,26 @@ def test_records_without_a_time_are_in_no_window(spark):
     released = window_release(df, "10 seconds").select("position", "window_start", "window_end")
     assert sorted(map(tuple, kept.collect())) == sorted(map(tuple, released.collect()))
     assert late_audit(df, "position", "10 seconds").count() == 4
+
+
+def test_levels_follow_the_positions(spark):
+    def levels(*positions):
+        return blocks_for(spark.createDataFrame([(p,) for p in positions], "position long"), "position")
+
+    assert levels() == levels(5) == levels(-3, 1 << 30) == [ROW_BLOCK]
+    year = 365 * 86_400 * 10**9
+    for low, high in [(0, 1 << 40), (7, year), (-year, year), (-(1 << 62), 1 << 62)]:
+        covered = math.prod(found := levels(low, high))
+        assert (high - low) // covered < TOP_ROWS <= ((high - low) // (covered // LEVEL_BLOCK)) + 2
+        assert found[0] == ROW_BLOCK and set(found[1:]) == {LEVEL_BLOCK}
+
+
+def test_sparse_positions(spark):
+    rng = random.Random(11)
+    rows = [(rng.randrange(365 * 86_400 * 10**9), rng.randrange(10_000)) for _ in range(300)]
+    found = running_before(spark.createDataFrame(rows, "position long, v long"), "position", "v", "max", name="high")
+    best, expected = None, {}
+    for position, v in sorted(rows):
+        expected[position] = best
+        best = v if best is None else max(best, v)
+    assert {r.position: r.high for r in found.collect()} == expected

@@ -1,6 +1,7 @@
 """Normalisation: each field state, each reason to refuse a message."""
 
 import datetime
+import json
 import random
 
 import pytest
@@ -183,3 +184,43 @@ def test_forged_tail_and_poison_times(spark):
     df = spark.createDataFrame([(i, m) for i, (m, _) in enumerate(messages)], "n int, value string")
     found = normalise_state_events(df).select("n", "reject_reason").orderBy("n").collect()
     assert [r[1] for r in found] == [reason for _, reason in messages]
+
+
+@pytest.mark.parametrize(
+    "text, shown",
+    [
+        ("1.50", "1.50"),
+        ("12345678901234567890.123", "12345678901234567890.123"),
+        ("-0.10 ", "-0.10"),
+        ("1.5E-3", "1.5E-3"),
+        ("1e400", "1e400"),
+        ("7", "7"),
+        ("[1.50, 2,-0.0]", "[1.50,2,-0.0]"),
+        ('{"a":{"b":[1.50]},"c":"1.50,"}', '{"a":{"b":[1.50]},"c":"1.50,"}'),
+        ('"1.50,"', "1.50,"),
+        (r'"a\"1.50,"', 'a"1.50,'),
+        (r'"a\\"', "a\\"),
+        ("'it\"s 1.50,'", 'it"s 1.50,'),
+        (r"'it\'s 1.50,'", "it's 1.50,"),
+    ],
+)
+def test_numbers_as_written(spark, text, shown):
+    row = _state(spark, '{"pos":1,"RAWID":%s,"OLD_STATE":2.50}' % text)[0]
+    assert (row.id, row.old_state, row.reject_reason) == (shown, "2.50", None)
+
+
+@pytest.mark.parametrize(
+    "message",
+    [
+        '{"pos":1,"RAWID":1.}', '{"pos":1,"RAWID":.5}', '{"pos":1,"RAWID":1.5 x}', '{1.5:2,"pos":1}', '{"pos":1} 1.5,', '1.5',
+        '{"pos":1,"RAWID":x 1.5}', '{"pos":1,"RAWID":--1.5}', r'{"pos":1,"RAWID":"\q1.5"}', '{"pos":1,"RAWID":"1.5,}', '{"pos":1,"RAWID":1.5',
+    ],
+)
+def test_numbers_mend_no_message(spark, message):
+    assert _state(spark, message)[0].reject_reason == "malformed_json"
+
+
+def test_numbers_in_a_long_message(spark):
+    shown = '"\\1.50,' * 60_000
+    row = _state(spark, '{"pos":1,"a":[%s1.50],"RAWID":%s,"OLD_STATE":1.70}' % ("1.50," * 60_000, json.dumps(shown)))[0]
+    assert row.id == shown and row.old_state == "1.70" and row.reject_reason is None

@@ -3,6 +3,7 @@ import json
 import os
 
 import pytest
+from pyspark.errors import StreamingQueryException
 from pyspark.sql import functions as F
 
 from windrow.schemas import PASSING_RECORD
@@ -84,6 +85,28 @@ def test_writer_clock(spark):
     assert {r.bucket for r in df.collect()} == {str(datetime.datetime.now(datetime.timezone.utc).year)}
 
 
+def test_writer_clock_of_a_repeated_batch(spark, folder):
+    """A micro-batch that fails and runs again, by a new query, has the buckets of its first run."""
+    spark.createDataFrame([("a",)], "value string").write.text(f"{folder}/in")
+    seen = []
+
+    def start(fails):
+        lines = spark.readStream.schema("value string").text(f"{folder}/in")
+        bucketed = with_bucket(lines, time=None, pattern="yyyy-MM-dd HH:mm:ss.SSS", zone="UTC")
+
+        def sink(batch, batch_id):
+            seen.append((batch_id, [r.bucket for r in batch.collect()]))
+            if fails:
+                raise RuntimeError("lost")
+
+        return bucketed.writeStream.foreachBatch(sink).option("checkpointLocation", f"{folder}/state").trigger(availableNow=True).start()
+
+    with pytest.raises(StreamingQueryException):
+        start(True).awaitTermination()
+    start(False).awaitTermination()
+    assert len(seen) == 2 and len(seen[0][1]) == 1 and seen[0] == seen[1]
+
+
 def test_unknown_format(spark, folder):
     with pytest.raises(ValueError):
         write_bucketed(with_bucket(_records(spark)), f"{folder}/out", "xml")

@@ -16,7 +16,7 @@ from pyspark.sql import functions as F
 
 from windrow.functions.clock import duration_micros, floor_to
 from windrow.operators.event_time import EVENT_TIME
-from windrow.operators.ordering import ROW_BLOCKS, running_before
+from windrow.operators.ordering import running_before
 from windrow.operators.small_side import fits_broadcast, stored
 
 _WINDOW_BLOCKS = (1 << 12,)
@@ -28,7 +28,7 @@ def punctuated_watermark(
     *,
     time: str = EVENT_TIME,
     by: Sequence[str] = (),
-    blocks: Sequence[int] = ROW_BLOCKS,
+    blocks: Sequence[int] | None = None,
 ) -> DataFrame:
     """Add `watermark_before` (null for the first record) and `watermark_after`, in epoch ms.
 

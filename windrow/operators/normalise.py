@@ -10,7 +10,16 @@ from pyspark.sql import functions as F
 
 from windrow.constants import PASSING_RECORD_KEYS, STATE_EVENT_KEYS
 from windrow.functions.clock import micros_time, millis_micros, strict_long
-from windrow.functions.messages import field_or_default, is_one_object, parse_object, quote_nulls
+from windrow.functions.messages import (
+    field_or_default,
+    is_one_object,
+    mark_literals,
+    message_mark,
+    parse_object,
+    quote_nulls,
+    seems_literal,
+    written,
+)
 from windrow.operators.event_time import EVENT_TIME
 
 REJECT_REASON = "reject_reason"
@@ -42,20 +51,29 @@ def normalise(df: DataFrame, spec: RecordSpec, value: str = "value") -> DataFram
     """Add the record's fields, `event_time` and `reject_reason` (null for usable messages).
 
     All other columns of `df` stay. Each message is parsed once, on the JVM, and every message
-    comes out: `good_records` and `rejects` part them.
+    comes out: `good_records` and `rejects` part them. Numbers come out as they are written.
     """
     message = F.col(value)
     text = quote_nulls(message) if spec.nulls_to_text else message
     names = spec.fields
 
-    def parsed(t: Column) -> Column:
-        return F.struct(t.alias("text"), parse_object(t, spec.keys).alias("parsed"))
+    def hashed(t: Column) -> Column:
+        return F.struct(t.alias("text"), message_mark(t).alias("mark"), seems_literal(t).alias("literal"))
+
+    def parsed(s: Column) -> Column:
+        marked = F.when(s["literal"], mark_literals(s["text"], s["mark"])).otherwise(s["text"])
+        return F.struct(*(s[n].alias(n) for n in ("text", "mark", "literal")), parse_object(marked, spec.keys, s["mark"]).alias("parsed"))
 
     def judged(s: Column) -> Column:
-        return F.struct(s["parsed"].alias("parsed"), is_one_object(s["parsed"], s["text"]).alias("whole"))
+        whole = is_one_object(s["parsed"], s["text"])
+        return F.struct(*(s[n].alias(n) for n in ("mark", "literal", "parsed")), whole.alias("whole"))
+
+    def field(s: Column, key: str, default: str) -> Column:
+        value = field_or_default(s["parsed"], key, default)
+        return F.when(s["whole"], F.when(s["literal"], written(value, s["mark"])).otherwise(value))
 
     def recorded(s: Column) -> Column:
-        fields = (F.when(s["whole"], field_or_default(s["parsed"], key, default)).alias(n) for n, (key, default) in spec.keys.items())
+        fields = (field(s, key, default).alias(n) for n, (key, default) in spec.keys.items())
         return F.struct(s["whole"].alias("_whole"), *fields)
 
     def numbered(s: Column) -> Column:
@@ -68,7 +86,7 @@ def normalise(df: DataFrame, spec: RecordSpec, value: str = "value") -> DataFram
     # one row at a time through an array of one: each step names what the step before worked out. The whole goes through a
     # generator: a filter on the fields would otherwise be moved below the projection and work everything out again
     steps = F.array(text)
-    for step in (parsed, judged, recorded, numbered, timed):
+    for step in (hashed, parsed, judged, recorded, numbered, timed):
         steps = F.transform(steps, step)
     records = df.select(*df.columns, F.inline(steps))
     reason = (

@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 from windrow.functions.clock import floor_to
 from windrow.session import enable_checkpoints
 
-ROW_BLOCKS = (1 << 20, 1 << 12)
+ROW_BLOCK, LEVEL_BLOCK, TOP_ROWS = 1 << 20, 1 << 12, 1 << 20
 
 
 def with_arrival_position(df: DataFrame, *order: str | Column, name: str = "position") -> DataFrame:
@@ -24,6 +24,17 @@ def with_arrival_position(df: DataFrame, *order: str | Column, name: str = "posi
     return df.orderBy(*order).withColumn(name, F.monotonically_increasing_id()).checkpoint()
 
 
+def blocks_for(df: DataFrame, position: str) -> list[int]:
+    """Block sizes for the range that the positions of `df` span, so that at most `TOP_ROWS` blocks are left at the top."""
+    low, high = df.agg(F.min(position), F.max(position)).first()
+    span = 1 if low is None else high - low + 1
+    blocks, covered = [ROW_BLOCK], ROW_BLOCK
+    while covered * (TOP_ROWS - 1) < span:  # the first and the last block may be cut
+        blocks.append(LEVEL_BLOCK)
+        covered *= LEVEL_BLOCK
+    return blocks
+
+
 def running_before(
     df: DataFrame,
     position: str,
@@ -32,7 +43,7 @@ def running_before(
     *,
     name: str,
     by: Sequence[str] = (),
-    blocks: Sequence[int] = ROW_BLOCKS,
+    blocks: Sequence[int] | None = None,
 ) -> DataFrame:
     """Add `name`: the `max` or `min` of `value` over all rows with a smaller position.
 
@@ -40,13 +51,14 @@ def running_before(
     blocks of `blocks[0]` positions; since positions are unique, no block can hold more rows than
     that, whatever the data look like. The extremes of the blocks form a much smaller table of the
     same shape, which is treated likewise with `blocks[1]`, and so on. Only the topmost table is
-    ordered in one task: it has at most a row for each 2^32 numbers (the product of the default
-    `blocks`) of the range that positions span. Add a level for very sparse positions.
+    ordered in one task: it has at most a row for each stretch of positions as long as the product of
+    `blocks`. Unless given, they follow from the range that the positions span, which is read
+    once for it, so that no task orders more than 2^20 rows (of a value of `by`) however sparse they are.
 
     What a block inherits from those before it enters as one more row at its front. The rows are
     therefore read twice and shuffled once, by block, and there is no join.
     """
-    return _running(df, list(by), position, value, how, name, 1, list(blocks))
+    return _running(df, list(by), position, value, how, name, 1, blocks_for(df, position) if blocks is None else list(blocks))
 
 
 def _running(

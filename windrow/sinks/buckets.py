@@ -23,8 +23,10 @@ def with_bucket(
 ) -> DataFrame:
     """Add `bucket`: the record's time on the wall clock of `zone`.
 
-    `time=None` takes the clock of the writing query instead of the record's own time; such
-    buckets change when data are replayed.
+    `time=None` takes the clock of the writing query instead of the record's own time. On a stream
+    that is the time at which its micro-batch was planned, which stands in the checkpoint: a micro-batch that
+    runs again after a restart, be it past midnight, has the buckets it had before. Add the column to the
+    stream, not in a function of its micro-batches. Data read again from the start get new buckets.
     """
     instant = F.col(time) if time else F.current_timestamp()
     return df.withColumn(BUCKET, zoned_text(instant, pattern, zone))
