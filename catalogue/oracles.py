@@ -28,6 +28,8 @@ _TOP = """
 select window_end, item as "itemId", n as view_count, rk as rank
 from ranked where rk <= 3"""
 
+_TOP_5000 = _TOP.replace("rk <= 3", "rk <= 5000")
+
 _REPORT = """
 select window_end,
   repeat('=', 37) || chr(10)
@@ -218,6 +220,7 @@ seconds as (
 ), {_COUNTS.format(views='seconds')} {_TOP}""",
     "item_window_counts": f'{_HOT} select item as "itemId", window_end, n as view_count from counts',
     "hot_items_topn": f"{_HOT} {_TOP}",
+    "hot_items_top5000": f"{_HOT} {_TOP_5000}",
     "hot_items_report": f"{_HOT} {_REPORT} group by window_end",
     "tumbling_value_sum": f"""select event_type, {_window(3600, 'ts')}, cast(sum(user_id) as bigint) as user_sum
 from events group by all""",

@@ -91,6 +91,12 @@ def hot_items_topn(spark: SparkSession, sf_dir: str) -> DataFrame:
     return top.select(plain("window_end"), "itemId", "view_count", "rank")
 
 
+def hot_items_top5000(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """More ranks than Spark's group limit cuts to."""
+    top = hot.hot_items(inputs.views(_events(spark, sf_dir)), n=5000)
+    return top.select(plain("window_end"), "itemId", "view_count", "rank")
+
+
 def hot_items_report(spark: SparkSession, sf_dir: str) -> DataFrame:
     reports = hot.hot_items_report(inputs.views(_events(spark, sf_dir)), zone=c.BUCKET_ZONE)
     return reports.select(plain("window_end"), "report")
@@ -431,6 +437,7 @@ QUERIES: dict[str, Query] = {
     "behavior_csv_hot_items": behavior_csv_hot_items,
     "item_window_counts": item_window_counts,
     "hot_items_topn": hot_items_topn,
+    "hot_items_top5000": hot_items_top5000,
     "hot_items_report": hot_items_report,
     "tumbling_value_sum": tumbling_value_sum,
     "state_events_normalised": state_events_normalised,

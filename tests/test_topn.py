@@ -49,6 +49,30 @@ def test_many_ranks_with_and_without_the_cutting_pass(spark, limit):
     assert got == expected
 
 
+def test_any_number_of_ranks(spark):
+    """One large window, half of it ties, beside small ones, a null window and null scores, over many ranges."""
+    from pyspark.sql import Window as W
+
+    key, before = "spark.sql.shuffle.partitions", spark.conf.get("spark.sql.shuffle.partitions")
+    ids = spark.range(30_000).withColumn("w", F.when(F.col("id") % 10 < 8, 0).when(F.col("id") % 10 < 9, F.col("id") % 40))
+    score = F.when(F.col("id") % 2 == 0, 7).when(F.col("id") % 11 > 0, F.pmod(F.xxhash64("id"), F.lit(1000)))
+    rows = ids.select(F.timestamp_seconds("w").alias("window_end"), F.col("id").alias("itemId"), score.alias("view_count")).repartition(7)
+    order = W.partitionBy("window_end").orderBy(F.col("view_count").desc(), F.col("itemId"))
+    plain = rows.withColumn("rank", F.row_number().over(order).cast("bigint")).filter("rank <= 5000")
+    spark.conf.set(key, "16")
+    spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")
+    try:
+        got = top_n_per_window(rows, 5000)
+        assert got.schema["rank"].dataType.simpleString() == "bigint" and got.columns == plain.columns
+        large = got.filter("window_end = timestamp_seconds(0)")
+        assert large.count() == 5000 and large.select(F.spark_partition_id()).distinct().count() > 1
+        assert sorted(map(str, got.collect())) == sorted(map(str, plain.collect()))
+    finally:
+        spark.conf.set(key, before)
+        spark.conf.unset("spark.sql.adaptive.coalescePartitions.enabled")
+    assert top_n_per_window(rows.limit(0), 5000).count() == 0
+
+
 def test_report_text(spark):
     rows = [(_at(5), 10, 8), (_at(5), 7, 3)]
     top = top_n_per_window(spark.createDataFrame(rows, SCHEMA), 3)
