@@ -39,7 +39,7 @@ from windrow.session import scratch_path
 SHINGLE_WORDS, MAX_BITS, SEED = 4, 4, 42
 TILE = 2048
 MOST_BANDS = 12  # 495 choices with 4 differing bits
-PAIR_COST = 0.02  # of comparing two fingerprints of a cell, against storing and moving a row of a cell
+PAIR_COST = 0.02  # assumed, not measured: of comparing two fingerprints of a cell, against storing and moving a row of a cell
 _ODD = np.uint64(0x5555555555555555)
 
 
