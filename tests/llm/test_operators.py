@@ -154,6 +154,33 @@ def test_divergent_text_is_rejected(spark):
     assert {r.doc_id for r in quality.keep(df, rules).collect()} == set(range(60))
 
 
+def test_junk_does_not_pull_the_reference(spark):
+    draw = random.Random(3)
+    clean = [" ".join(draw.choice("the of and house water garden to in spring light".split()) for _ in range(200)) for _ in range(60)]
+    junk = [" ".join(draw.choice("XKQJ 99#1 ZZ|2 $$41 QWRT".split()) for _ in range(200)) for _ in range(30)]
+    short = [" ".join(draw.choice("the of and house water garden to in spring light".split()) for _ in range(52)), "QWRT 99#1 " * 26]
+    texts = [*clean, *junk, *short]
+    df = spark.createDataFrame([(i, t, "en") for i, t in enumerate(texts)], "doc_id long, text string, lang string")
+    rules = quality.Rules(max_repeated_percent=1000)
+    assert {r.doc_id for r in quality.keep(df, rules).collect()} == {*range(60), 90}
+
+
+def test_equal_documents_and_few_documents_pass(spark):
+    text = "the house of water and light in spring to the garden " * 10
+    odd = "XKQJ 99#1 ZZ|2 $$41 QWRT " * 30
+    rows = [*((i, text, "en") for i in range(25)), *((i, odd, "fr") for i in range(25, 35)), (35, odd, None)]
+    df = spark.createDataFrame(rows, "doc_id long, text string, lang string")
+    rules = quality.Rules(max_repeated_percent=1000)
+    assert quality.references(quality.measure(df), rules).count() == 1
+    assert quality.keep(df, rules).count() == 36
+
+
+def test_quality_agrees_with_labels(spark, sf_dir):
+    found = queries.quality_rules(spark, sf_dir).filter("not base_failed").join(queries.table(spark, sf_dir, "labels"), "doc_id").toPandas()
+    good, bad = found[found.quality == 1], found[found.quality == 0]
+    assert (~good.kept).sum() <= 1 + 0.005 * len(good) and bad.kept.sum() <= 1 + 0.05 * len(bad)
+
+
 def test_repeats(docs, rows, none):
     order = {id(r): (float("inf") if r[0] is None else r[0]) for r in rows}
     first: dict[bytes, float] = {}

@@ -55,21 +55,21 @@ g AS (
                             word_chars - lower_case - upper_case - digits - n_symbols - non_ascii, non_ascii], lambda x: x / word_chars) AS p,
          list_transform(list_append(found, n_words - list_sum(found)::BIGINT), lambda x: x / n_words) AS v
   FROM f),
-refs AS (
-  SELECT lang,
-         CASE WHEN count(*) FILTER (word_chars >= {rules.min_chars}) >= {rules.min_documents} THEN
-              {mean(f"CASE WHEN word_chars >= {rules.min_chars} THEN p END", n_classes).replace("END[", "END)[").replace("avg(CASE", "avg((CASE")} END AS rp,
-         CASE WHEN count(*) FILTER (n_words >= {rules.min_judged_words}) >= {rules.min_documents} THEN
-              {mean(f"CASE WHEN n_words >= {rules.min_judged_words} THEN v END", n_common).replace("END[", "END)[").replace("avg(CASE", "avg((CASE")} END AS rv
-  FROM g GROUP BY lang),
+long_enough AS (SELECT * FROM g WHERE word_chars >= {rules.min_chars} AND n_words >= {rules.min_judged_words}),
+means AS (
+  SELECT lang, {mean("p", n_classes)} AS rp, {mean("v", n_common)} AS rv
+  FROM long_enough GROUP BY lang HAVING count(*) >= {rules.min_documents}),
+first AS (SELECT lang, p, v, {distance("p", "rp")} + {distance("v", "rv")} AS d FROM long_enough JOIN means USING (lang)),
+near AS (SELECT * FROM first JOIN (SELECT lang, avg(d) AS middle FROM first GROUP BY lang) USING (lang) WHERE d <= middle + {quality.ROUNDING}),
+refs AS (SELECT lang, {mean("p", n_classes)} AS rp, {mean("v", n_common)} AS rv FROM near GROUP BY lang),
 judged AS (
   SELECT g.*, CASE WHEN word_chars >= {rules.min_chars} AND rp IS NOT NULL THEN {distance("p", "rp")} END AS dp,
          CASE WHEN n_words >= {rules.min_judged_words} AND rv IS NOT NULL THEN {distance("v", "rv")} END AS dv,
          n_words < {rules.min_words} OR 100 * n_repeat_words > {rules.max_repeated_percent} * n_words AS base_failed
-  FROM g JOIN refs USING (lang))
+  FROM g LEFT JOIN refs USING (lang))
 SELECT doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, base_failed,
        NOT base_failed AND NOT coalesce(dp > {rules.max_class_distance}, false)
-         AND NOT coalesce(dp + dv > {rules.max_total_distance}, false) AS kept
+         AND NOT coalesce(dp + dv > {rules.max_total_distance} + {rules.short_allowance} / sqrt(greatest(n_words, 1)), false) AS kept
 FROM judged
 """
 

@@ -1,12 +1,14 @@
 """Quality rules by distribution divergence, with DataFrame functions only.
 
 Each text has a histogram of character classes and one of common words. The reference of a language
-is the mean of its documents' histograms (every document with enough of what is counted weighs the
-same). A document is rejected if its Jensen-Shannon distance (base 2, square root of the
-divergence) from the reference of its own language exceeds a limit, for the classes alone or for both
-histograms together. Texts shorter than the
-minimum lengths are not judged by that histogram, and neither are languages of which too few
-documents are known.
+is made in two rounds over all its documents that are long enough for both histograms, each with the
+same weight: first the mean of all, then the mean of those that are no farther from the first mean
+than they are on average, so that junk does not pull the reference towards itself. A document is
+rejected if its Jensen-Shannon distance (base 2, square root of the divergence) from the reference
+of its own language exceeds a limit, for the classes alone or for both histograms together; the
+limit for both is wider for short texts, whose shares scatter by the root of their length. Texts
+shorter than the minimum lengths are not judged by that histogram, and neither are languages of which
+too few documents are known.
 
 Words are the runs of characters other than U+0020 and U+0009 to U+000D. A null text has no words
 and fails the base rule; null languages are one language of their own. Every row gets a verdict of
@@ -35,6 +37,7 @@ COMMON_WORDS = (
 BLANKS = "[\\x20\\x09-\\x0D]+"
 SYMBOLS = "#*$%&|<>"
 _P = "_quality_"
+ROUNDING = 1e-9  # equal distances may differ by this from their mean
 
 
 @dataclass(frozen=True)
@@ -42,10 +45,11 @@ class Rules:
     min_words: int = 50
     max_repeated_percent: int = 50
     min_chars: int = 200  # characters in words, for the classes
-    min_judged_words: int = 80  # for the common words
+    min_judged_words: int = 50  # for the common words
     min_documents: int = 20  # of a language, for its reference
     max_class_distance: float = 0.35
-    max_total_distance: float = 0.475  # both distances together
+    max_total_distance: float = 0.4  # both distances together, of an endless text
+    short_allowance: float = 1.0  # added to it, divided by the root of the number of words
 
 
 def let(value: Column, body: Callable[[Column], Column]) -> Column:
@@ -153,36 +157,56 @@ def measure(docs: DataFrame, text: str = "text", lang: str = "lang") -> DataFram
     )
 
 
-def references(measured: DataFrame, rules: Rules = Rules()) -> DataFrame:
-    """A row for each language: mean class and common-word histograms over all its documents."""
+def _distances(rows: DataFrame, rules: Rules) -> DataFrame:
+    """`rows` with the distances from the histograms `_quality_classes` and `_quality_common`, null for short texts."""
     h = F.col(f"{_P}m.h")
-    found = measured.select(
-        f"{_P}key",
-        F.when(h["word_chars"] >= rules.min_chars, _shares(h["classes"])).alias("classes"),
-        F.when(h["n_words"] >= rules.min_judged_words, _shares(h["common"])).alias("common"),
+    return rows.withColumns(
+        {
+            f"{_P}class_distance": F.when(h["word_chars"] >= rules.min_chars, distance(_shares(h["classes"]), F.col(f"{_P}classes"))),
+            f"{_P}word_distance": F.when(h["n_words"] >= rules.min_judged_words, distance(_shares(h["common"]), F.col(f"{_P}common"))),
+        }
     )
-    n_classes, n_words = 6, len(COMMON_WORDS) + 1
-    sums = found.groupBy(f"{_P}key").agg(
-        F.count("classes").alias("n_classes"),
-        F.count("common").alias("n_common"),
-        *(F.avg(F.col("classes")[i]).alias(f"c{i}") for i in range(n_classes)),
-        *(F.avg(F.col("common")[i]).alias(f"w{i}") for i in range(n_words)),
+
+
+def _means(long_enough: DataFrame, least: int) -> DataFrame:
+    """A row for each language of at least `least` documents: the mean of their histograms."""
+    h = F.col(f"{_P}m.h")
+    shares = long_enough.select(f"{_P}key", _shares(h["classes"]).alias("classes"), _shares(h["common"]).alias("common"))
+    lengths = {"classes": 6, "common": len(COMMON_WORDS) + 1}
+    sums = shares.groupBy(f"{_P}key").agg(
+        F.count("*").alias("n"),
+        *(F.avg(F.get(name, F.lit(i))).alias(f"{name}{i}") for name, n in lengths.items() for i in range(n)),
     )
-    return sums.select(
+    return sums.filter(F.col("n") >= least).select(
         F.col(f"{_P}key").alias(f"{_P}lang"),
-        F.when(F.col("n_classes") >= rules.min_documents, F.array(*(f"c{i}" for i in range(n_classes)))).alias(f"{_P}classes"),
-        F.when(F.col("n_common") >= rules.min_documents, F.array(*(f"w{i}" for i in range(n_words)))).alias(f"{_P}common"),
+        *(F.array(*(f"{name}{i}" for i in range(n))).alias(f"{_P}{name}") for name, n in lengths.items()),
+    )
+
+
+def references(measured: DataFrame, rules: Rules = Rules()) -> DataFrame:
+    """A row for each language: mean class and common-word histograms of its documents near the mean of all."""
+    h = F.col(f"{_P}m.h")
+    long_enough = measured.filter((h["word_chars"] >= rules.min_chars) & (h["n_words"] >= rules.min_judged_words))
+    means = broadcast_if_small(_means(long_enough, rules.min_documents))
+    both = F.col(f"{_P}class_distance") + F.col(f"{_P}word_distance")
+    first = _distances(long_enough.join(means, F.col(f"{_P}key") == F.col(f"{_P}lang")), rules).select(
+        f"{_P}key", f"{_P}m", both.alias(f"{_P}both")
+    )
+    middle = first.groupBy(F.col(f"{_P}key").alias(f"{_P}lang")).agg(F.avg(f"{_P}both").alias(f"{_P}middle"))
+    near = first.join(broadcast_if_small(middle), F.col(f"{_P}key") == F.col(f"{_P}lang")).filter(
+        F.col(f"{_P}both") <= F.col(f"{_P}middle") + ROUNDING
     )
+    return _means(near, 1)
 
 
 def distance(p: Column, q: Column) -> Column:
-    """Jensen-Shannon distance of two histograms of shares, between 0 and 1."""
+    """Jensen-Shannon distance of two histograms of shares, between 0 and 1; null without a second one."""
 
     def part(x: Column, y: Column) -> Column:
         return F.when(x > 0, x * F.log2(2 * x / (x + y))).otherwise(F.lit(0.0))
 
     terms = F.zip_with(p, q, lambda x, y: (part(x, y) + part(y, x)) / 2)
-    return F.sqrt(F.greatest(F.lit(0.0), F.aggregate(terms, F.lit(0.0), lambda a, x: a + x)))
+    return F.when(q.isNotNull(), F.sqrt(F.greatest(F.lit(0.0), F.aggregate(terms, F.lit(0.0), lambda a, x: a + x))))
 
 
 def judge(measured: DataFrame, refs: DataFrame, rules: Rules = Rules()) -> DataFrame:
@@ -192,12 +216,11 @@ def judge(measured: DataFrame, refs: DataFrame, rules: Rules = Rules()) -> DataF
     h = F.col(f"{m}.h")
     n_words, n_repeat = h["n_words"], F.col(f"{m}.n_repeat_words")
     base_failed = (n_words < rules.min_words) | (100 * n_repeat > rules.max_repeated_percent * n_words)
-    by_class = F.when(h["word_chars"] >= rules.min_chars, distance(_shares(h["classes"]), F.col(f"{_P}classes")))
-    by_word = F.when(h["n_words"] >= rules.min_judged_words, distance(_shares(h["common"]), F.col(f"{_P}common")))
-    rows = rows.withColumns({f"{_P}class_distance": by_class, f"{_P}word_distance": by_word})
+    rows = _distances(rows, rules)
     by_both = F.col(f"{_P}class_distance") + F.col(f"{_P}word_distance")
+    limit = rules.max_total_distance + rules.short_allowance / F.sqrt(F.greatest(n_words, F.lit(1)))
     passed = ~F.coalesce(F.col(f"{_P}class_distance") > rules.max_class_distance, F.lit(False)) & ~F.coalesce(
-        by_both > rules.max_total_distance, F.lit(False)
+        by_both > limit, F.lit(False)
     )
     return rows.select(
         *(c for c in measured.columns if c not in (m, f"{_P}dup_lines", f"{_P}key")),
