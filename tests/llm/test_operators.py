@@ -117,6 +117,31 @@ def test_words_are_encoded_as_in_whole_texts():
     assert set(encoder.old) == {b"a", b"b"} and set(encoder.known) == {b"b", b"c"}
 
 
+def test_the_library_gets_new_words_in_lots():
+    """A call for each word costs more than its ids."""
+
+    class Counting:
+        def __init__(self, tokenizer):
+            self.tokenizer, self.calls, self.words = tokenizer, 0, []
+
+        def __getattr__(self, name):
+            def call(texts, **named):
+                self.calls += len(texts)
+                self.words += [w for t in texts for w in t.split()]
+                return getattr(self.tokenizer, name)(texts, **named)
+
+            return call
+
+    encoder = token_codes.Encoder(queries.WORD_TOKENIZER)
+    counting = encoder.tokenizer = Counting(encoder.tokenizer)
+    texts = [" ".join(f"w{i} w{i + 1}" for i in range(k, k + 100)) for k in range(0, 3000, 50)] + [" \x85 \u3000 ", "\x00 !\x00 "]
+    whole = counting.tokenizer.encode_batch(texts, add_special_tokens=False)
+    for _ in range(2):
+        assert [x.tolist() for x in encoder.encode([t.encode() for t in texts])] == [[*x.ids, token_codes.END_ID] for x in whole]
+    assert counting.calls <= len(encoder.known) // token_codes.LOT_WORDS + 1
+    assert max(Counter(counting.words).values()) == 1
+
+
 def test_special_tokens_are_encoded_as_the_library_loads_them(spark):
     let_workers_import(spark)
     tokenizer = Tokenizer.from_file(queries.WORD_TOKENIZER)

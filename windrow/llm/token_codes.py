@@ -24,6 +24,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import Window as W
@@ -38,6 +39,8 @@ SEGMENT_TOKENS = 1 << 21
 END_ID = 1
 CACHE_BYTES = 128 << 20
 WORD_BYTES = 180  # of a known word besides its bytes and ids
+LOT_WORDS = 512
+LOT_BYTES = 4 << 20  # of texts encoded at a time
 _END = array("I", [END_ID]).tobytes()
 
 
@@ -117,9 +120,9 @@ class Encoder:
     """Ids of whole texts by way of their words, for tokenizers that never join or look across white space.
 
     A text is cut at ASCII white space, as no normal form and no pattern of such a tokenizer reaches over it, and
-    the library encodes each word that is not known yet. Once the known words hold `CACHE_BYTES` they become the old
-    ones, and of the old ones those not met again are forgotten. Special tokens in a text are one id, unless
-    `encode_special_tokens` spells them out; they hold no white space and take none away.
+    the library encodes each word that is not known yet, `LOT_WORDS` at a time. Once the known words hold `CACHE_BYTES`
+    they become the old ones, and of the old ones those not met again are forgotten. Special tokens in a text are one
+    id, unless `encode_special_tokens` spells them out; they hold no white space and take none away.
     """
 
     def __init__(self, path: str, encode_special_tokens: bool = True):
@@ -132,19 +135,47 @@ class Encoder:
         self.old: dict[bytes, bytes] = {}
         self.held = 0
 
-    def encode(self, texts: list[bytes]) -> list[np.ndarray]:
-        """The ids of every text, with the end id."""
-        cut = [text.split() for text in texts]
+    def _library(self, words: list[bytes]) -> list[bytes]:
+        """The ids of every word, from one text of all: those between the end of the word before and its own."""
+        texts = [w.decode() for w in words]
+        (found,) = self.tokenizer.encode_batch([" ".join(texts)], add_special_tokens=False)
+        ids = array("I", found.ids).tobytes()
+        stops = np.fromiter((stop for _, stop in found.offsets), np.int64, len(ids) // 4)
+        ends = np.cumsum([len(t) + 1 for t in texts]) - 1
+        cuts = (4 * np.searchsorted(stops, ends, "right")).tolist()
+        return [ids[a:b] for a, b in zip([0, *cuts], cuts)]
+
+    def _ids(self, words: list[bytes]) -> list[bytes | None]:
+        """The ids of distinct words; the empty word has none."""
         if self.held > CACHE_BYTES:
             self.old, self.known, self.held = self.known, {}, 0
-        known, old = self.known, self.old
-        wanted = set().union(*cut).difference(known)
-        new = [w for w in wanted if w not in old]
-        found = self.tokenizer.encode_batch_fast([w.decode() for w in new], add_special_tokens=False)
-        known.update((w, old[w]) for w in wanted if w in old)
-        known.update((w, array("I", one.ids).tobytes()) for w, one in zip(new, found))
-        self.held += sum(len(w) + len(known[w]) + WORD_BYTES for w in wanted)
-        return [np.frombuffer(b"".join([*map(known.__getitem__, words), _END]), np.uint32) for words in cut]
+        found = [*map(self.known.get, words)]
+        wanted = [i for i, ids in enumerate(found) if ids is None and words[i]]
+        for i, ids in zip(wanted, [*map(self.old.get, map(words.__getitem__, wanted))]):
+            found[i] = ids
+        new = [i for i in wanted if found[i] is None]
+        for k in range(0, len(new), LOT_WORDS):
+            lot = new[k : k + LOT_WORDS]
+            for i, ids in zip(lot, self._library([words[i] for i in lot])):
+                found[i] = ids
+        self.known.update((words[i], found[i]) for i in wanted)
+        self.held += sum(len(words[i]) + len(found[i]) + WORD_BYTES for i in wanted)
+        return found
+
+    def encode(self, texts: list[bytes]) -> list[np.ndarray]:
+        """The ids of every text, with the end id."""
+        # an empty word stands before white space at the start and after some at the end
+        cut = pc.ascii_split_whitespace(pa.array(texts, pa.binary()).view(pa.string()))
+        ends = cut.offsets.to_numpy()[1:]
+        coded = cut.values.dictionary_encode()
+        words = coded.dictionary.view(pa.binary()).to_numpy(zero_copy_only=False).tolist()
+        ids = pa.array([*self._ids(words), _END], pa.binary())
+        _, offsets, values = ids.buffers()
+        offsets = np.frombuffer(offsets, np.int32, len(ids) + 1) // 4
+        table = pa.ListArray.from_arrays(pa.array(offsets), pa.array(np.frombuffer(values, np.uint32, offsets[-1])))
+        found = table.take(pa.array(np.insert(coded.indices.to_numpy(), ends, len(words))))
+        stops = found.offsets.to_numpy()[ends + np.arange(1, len(ends) + 1)]
+        return np.split(found.values.to_numpy(), stops[:-1])
 
 
 @functools.cache
@@ -170,7 +201,7 @@ def write(
             return pa.RecordBatch.from_arrays([*columns, pa.array([pack(keys, sizes, flat)], pa.binary())], ["segment", "first", "n_tokens", "payload"])
 
         for batch in batches:
-            for piece, texts in chunks(batch, "text"):
+            for piece, texts in chunks(batch, "text", LOT_BYTES):
                 for k, new in zip(piece.column("key").to_pylist(), encoder.encode(texts)):
                     keys.append(k)
                     sizes.append(len(new))
