@@ -259,6 +259,28 @@ def test_repeats_of_one_anchor_in_many_contexts(spark):
     assert {b for b, _ in held.by_bucket(3)} >= {3, 4, 5}
 
 
+def test_a_context_is_sent_without_its_key():
+    draw = random.Random(8)
+    lexicon = ["".join(draw.choice("etaoinshrdlu") for _ in range(draw.randrange(3, 9))) for _ in range(60)]
+    texts = [" ".join(draw.choice(lexicon) for _ in range(60)) for _ in range(400)] * 2
+    row = {"block": 0, "payload": repeats.exchange.to_bytes(_ids_and_texts(texts)), "replies": []}
+    found = repeats.Contexts(row, 1, 50)
+    known = list(found.known)
+    sent = sum(len(body) for _, body in repeats._contexts(row, 1, 50))
+    text = b"".join(known[i][1] for _, places in found.by_bucket(1) for i in places.tolist())
+    # a key alone is eight bytes that do not compress
+    assert sent < len(pa.compress(text, codec="zstd", asbytes=True)) + 8 * len(known)
+
+
+def test_contexts_come_back_from_their_message():
+    contexts = [b"a" * 50, b"\0" * 60, b"\xff\x80" * 40]
+    low, high = np.iinfo(np.int64).min, repeats.LAST_ID
+    sent = repeats._packed(contexts, np.array([-1, 3, 26]), np.array([low, -1, high]), np.array([high, 5, high]))
+    assert repeats._unpacked(sent) == (contexts, [-1, 3, 26], [low, -1, high], [high, 5, high])
+    nothing = np.empty(0, np.int64)
+    assert repeats._unpacked(repeats._packed([], nothing, nothing, nothing)) == ([], [], [], [])
+
+
 def _ids_and_texts(texts):
     return pa.RecordBatch.from_arrays([pa.array(range(len(texts)), pa.int64()), pa.array(texts, pa.string())], ["id", "text"])
 

@@ -41,6 +41,7 @@ TEXT_BYTES = 1 << 15
 BLOCK_BYTES = 4 << 20  # a block's or a bucket's contexts have several times the bytes of its text, in Python objects
 BUCKET_BYTES = 4 << 20
 ANCHOR_RUNS = 1 << 11  # contexts of one anchor in a bucket
+TEXT_LEVEL = 3  # of compression: a seventh smaller than by 1
 LAST_ID = np.iinfo(np.int64).max
 
 _M1, _M2 = np.uint64(0x9E3779B97F4A7C15), np.uint64(0xD6E8FEB86659FD93)
@@ -196,22 +197,37 @@ class Contexts:
                 yield base + bucket, order[stretch]
 
 
+def _packed(contexts: list[bytes], at: np.ndarray, least: np.ndarray, most: np.ndarray) -> bytes:
+    """A message of contexts: the numbers, the bytes of one weight side by side, then the contexts.
+
+    The key of a context is not sent, as it is the hash of bytes the context holds.
+    """
+    n, text = len(contexts), b"".join(contexts)
+    # ids of any size come back, as the difference wraps around
+    numbers = np.array([[len(c) for c in contexts], at, least, most - least], "<i8")
+    planes = np.ascontiguousarray(numbers.view(np.uint8).reshape(4, n, 8).transpose(0, 2, 1)).tobytes()
+    codec = pa.Codec("zstd", compression_level=TEXT_LEVEL)
+    planes = codec.compress(planes, asbytes=True)
+    return struct.pack("<III", n, len(text), len(planes)) + planes + codec.compress(text, asbytes=True)
+
+
+def _unpacked(body: bytes) -> tuple[list[bytes], list[int], list[int], list[int]]:
+    """Contexts, places of their anchors (-1: a single window), smallest and largest ids."""
+    n, size, head = struct.unpack_from("<III", body)
+    planes = pa.decompress(body[12 : 12 + head], decompressed_size=32 * n, codec="zstd", asbytes=True)
+    text = pa.decompress(body[12 + head :], decompressed_size=size, codec="zstd", asbytes=True)
+    numbers = np.ascontiguousarray(np.frombuffer(planes, np.uint8).reshape(4, 8, n).transpose(0, 2, 1)).view("<i8")[..., 0]
+    ends = np.cumsum(numbers[0])
+    contexts = [text[a:b] for a, b in zip((ends - numbers[0]).tolist(), ends.tolist())]
+    return contexts, numbers[1].tolist(), numbers[2].tolist(), (numbers[2] + numbers[3]).tolist()
+
+
 def _contexts(row: dict, n: int, length: int) -> Iterator[tuple[int, bytes]]:
     found = Contexts(row, n, length)
     entries = list(found.known)
     for bucket, places in found.by_bucket(n):
         chosen = [entries[i] for i in places.tolist()]
-        yield bucket, exchange.to_bytes(
-            pa.RecordBatch.from_arrays(
-                [
-                    pa.array([e[0] for e in chosen], pa.uint64()),
-                    pa.array([e[1] for e in chosen], pa.binary()),
-                    pa.array(found.least[places]),
-                    pa.array(found.most[places]),
-                ],
-                ["key", "bytes", "least", "most"],
-            )
-        )
+        yield bucket, _packed([e[1] for e in chosen], np.array([e[2] for e in chosen], np.int64), found.least[places], found.most[places])
 
 
 def divide(text: np.ndarray, length: int) -> tuple[np.ndarray, np.ndarray]:
@@ -295,16 +311,18 @@ def _settle(contexts: list[bytes], least: np.ndarray, length: int) -> list[list[
 def _verdicts(group: list[dict], length: int) -> list[bytes | None]:
     """For each block: places of its contexts, windows in them (from, count) and the smaller id they have."""
     smallest: dict[bytes, int] = {}
-    only: dict[int, bytes] = {}
-    several: dict[int, dict[bytes, None]] = {}
+    only: dict[bytes, bytes] = {}
+    several: dict[bytes, dict[bytes, None]] = {}
     for row in group:
-        batch = exchange.from_bytes(row["body"])
-        for key, context, least in zip(batch.column("key").to_pylist(), batch.column("bytes").to_pylist(), batch.column("least").to_pylist()):
+        for context, at, least, _ in zip(*_unpacked(row["body"])):
             if least < smallest.get(context, LAST_ID + 1):
                 smallest[context] = least
-            one = only.setdefault(key, context)
+            if at < 0:  # equal or different as a whole
+                continue
+            anchor = context[at : at + ANCHOR]
+            one = only.setdefault(anchor, context)
             if one != context:
-                several.setdefault(key, {one: None})[context] = None
+                several.setdefault(anchor, {one: None})[context] = None
     del only
     settled: dict[bytes, list[tuple[int, int, int]]] = {}
     lot: list[bytes] = []
@@ -324,9 +342,9 @@ def _verdicts(group: list[dict], length: int) -> list[bytes | None]:
     flush()
     replies: list[bytes | None] = []
     for row in group:
-        batch = exchange.from_bytes(row["body"])
         found = []
-        for i, (context, most) in enumerate(zip(batch.column("bytes").to_pylist(), batch.column("most").to_pylist())):
+        contexts, _, _, largest = _unpacked(row["body"])
+        for i, (context, most) in enumerate(zip(contexts, largest)):
             runs = settled.get(context)
             if runs is None:
                 if smallest[context] < most:
